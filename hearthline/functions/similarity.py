@@ -30,8 +30,8 @@ def token_sort_key(text: Column, case_insensitive: bool = True) -> Column:
     """
     if case_insensitive:
         text = F.regexp_replace(F.lower(text), r"(?U)\W", " ")
-    tokens = F.filter(F.split(text, r"(?U)\s+"), lambda t: t != "")
-    return F.array_join(F.array_sort(tokens), " ")
+    tokens = F.array_remove(F.split(text, r"(?U)\s+"), "")
+    return F.array_join(F.sort_array(tokens), " ")
 
 
 def lcs_length(a: Column, b: Column) -> Column:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 CANONICAL = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 STRICT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z?$"
-# date, hour:minute, second, then Z or an offset split into sign, hours and minutes
+# date, hour:minute, :second, then Z or an offset split into sign, hours and minutes
 LENIENT = (
     r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:[T ](\d{2}:\d{2})(?::(\d{2})(?:[.,]\d+)?)?"
+    r"(?:[T ](\d{2}:\d{2})(?:(:\d{2})(?:[.,]\d+)?)?"
     r"(?:Z|([+-])([01]\d|2[0-3])(?::?([0-5]\d))?)?)?$"
 )
 
@@ -28,14 +28,10 @@ def canonical_utc(text: Column, lenient: bool = True) -> Column:
     if not lenient:
         return F.when(text.rlike(STRICT), plain)
 
-    def part(group: int, default: str) -> Column:
-        found = F.regexp_extract(text, LENIENT, group)
-        return F.when(found == "", F.lit(default)).otherwise(found)
-
-    local = F.concat(part(1, ""), F.lit("T"), part(2, "00:00"), F.lit(":"), part(3, "00")).try_cast("timestamp_ntz")
-    minutes = part(5, "0").cast("int") * 60 + part(6, "0").cast("int")
-    offset = F.make_dt_interval(mins=F.when(part(4, "+") == "-", -minutes).otherwise(minutes))
-    general = F.date_format(local - offset, CANONICAL)
+    # Unmatched groups are empty: `2024-05-01 `, `2024-05-01 08:30` and full times are all valid casts.
+    local = F.regexp_replace(text, LENIENT, "$1 $2$3").try_cast("timestamp_ntz")
+    offset = F.rpad(F.regexp_replace(text, LENIENT, "$4$5:$6"), 6, "0").try_cast("interval hour to minute")
+    general = F.date_format(local - F.coalesce(offset, F.expr("interval '0:00' hour to minute")), CANONICAL)
     return F.when(text.rlike(STRICT), plain).when(text.rlike(LENIENT), general)
 
 

@@ -10,6 +10,10 @@ on the token-sort key of the Status alone, only the first arrival of every (bloc
    keys than that;
 4. keys that are still open in larger blocks are matched through shared substrings, which finds every
    similar pair (see functions.similarity) without forming the pairs of the block.
+
+Steps 2 to 4 work on narrow rows and run when the operator is called; their results, usually a small
+part of the data, are staged in the shared folder, and steps that have nothing to do are left out. Only
+the first step moves whole events, once.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from hearthline.functions.similarity import (
 )
 from hearthline.operators.dedup import exact_dedup, first_n_per
 from hearthline.schemas import ARRIVAL, SIMILARITY_THRESHOLD
+from hearthline.session import staged
 
 DEVICE = ["DeviceId", "DeviceType"]
 # Keys of a block every other key is compared with directly.
@@ -60,10 +65,14 @@ def _first_arrivals(rows: DataFrame, by: Sequence[str], order: Sequence[str]) ->
     return rows.groupBy(*by).agg(F.min(F.struct(*order, "TimestampUTC", "Status")).alias("_first"))
 
 
-def first_keys(keyed: DataFrame, block: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_keys(keyed: DataFrame, block: Sequence[str], order: Sequence[str]) -> DataFrame | None:
     """First arrival of each key, for blocks with at least two keys: block, `_key`, `_first`."""
-    mixed = _mixed_blocks(keyed, block, "_key")
-    return _first_arrivals(keyed.join(mixed, list(block), "left_semi"), [*block, "_key"], order)
+    mixed = staged(_mixed_blocks(keyed, block, "_key"), "mixed-blocks")
+    if mixed.isEmpty():
+        return None
+    return staged(
+        _first_arrivals(keyed.join(mixed, list(block), "left_semi"), [*block, "_key"], order), "first-keys"
+    )
 
 
 def _shared_substring_pairs(crowded: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
@@ -104,7 +113,7 @@ def _shared_substring_pairs(crowded: DataFrame, block: Sequence[str], threshold:
 
 
 def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads: int = HEADS) -> DataFrame:
-    """Keys with an earlier similar key in their block: block and `_key`, possibly repeated."""
+    """Keys with an earlier similar key in their block: block and `_key`."""
     leading = (
         first_n_per(firsts, block, ["_first"], heads)
         .groupBy(*block)
@@ -115,22 +124,27 @@ def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads
         return (head["_first"] < F.col("_first")) & similar_keys(head["_key"], F.col("_key"), threshold)
 
     last_head = F.array_max(F.transform("_heads", lambda h: h["_first"]))
-    judged = (
-        firsts.join(leading, list(block))
-        .withColumn("_lost", F.exists("_heads", beaten_by))
-        .select(
+    judged = staged(
+        firsts.join(leading, list(block)).select(
             *block,
             "_key",
             "_first",
-            "_lost",
-            (F.size("_heads") >= heads).alias("_full"),
-            (~F.col("_lost") & (F.col("_first") > last_head)).alias("_open"),
-        )
+            F.exists("_heads", beaten_by).alias("_lost"),
+            ((F.size("_heads") >= heads) & (F.col("_first") > last_head)).alias("_after_heads"),
+        ),
+        "judged-keys",
+    )
+    lost = judged.where("_lost").select(*block, "_key")
+    still_open = judged.where("_after_heads and not _lost").select(*block).distinct()
+    if still_open.isEmpty():
+        return lost
+    crowded = judged.join(still_open, list(block), "left_semi").withColumn(
+        "_open", F.expr("_after_heads and not _lost")
     )
-    pairs = _shared_substring_pairs(judged.where("_full"), block, threshold)
+    pairs = _shared_substring_pairs(crowded, block, threshold)
     later = F.when(F.col("_s._first") < F.col("_l._first"), F.col("_l._key")).otherwise(F.col("_s._key"))
-    late = pairs.select(*block, later.alias("_key")).distinct()
-    return judged.where("_lost").select(*block, "_key").unionByName(late)
+    late = staged(pairs.select(*block, later.alias("_key")).distinct(), "late-keys")
+    return lost.unionByName(late)
 
 
 def drop_near_duplicates(
@@ -147,9 +161,11 @@ def drop_near_duplicates(
     """
     block = block_columns(match_timestamp)
     keyed = _with_key(events, case_insensitive)
-    losers = losing_keys(first_keys(keyed, block, order), block, threshold)
     kept = first_n_per(keyed, [*block, "_key"], order, 1)
-    return kept.join(losers, [*block, "_key"], "left_anti").select(*events.columns)
+    firsts = first_keys(keyed, block, order)
+    if firsts is not None:
+        kept = kept.join(losing_keys(firsts, block, threshold), [*block, "_key"], "left_anti")
+    return kept.select(*events.columns)
 
 
 def candidate_pairs(
@@ -166,10 +182,9 @@ def candidate_pairs(
     """
     block = block_columns(match_timestamp)
     keyed = _with_key(events, case_insensitive)
-    mixed = _mixed_blocks(keyed, block, "Status")
-    texts = _first_arrivals(
-        keyed.join(mixed, block, "left_semi").withColumn("_text", F.col("Status")), [*block, "_key", "_text"], order
-    )
+    mixed = staged(_mixed_blocks(keyed, block, "Status"), "mixed-blocks")
+    rows = keyed.join(mixed, block, "left_semi").withColumn("_text", F.col("Status"))
+    texts = staged(_first_arrivals(rows, [*block, "_key", "_text"], order), "first-texts")
     firsts = texts.groupBy(*block, "_key").agg(F.min("_first").alias("_first"))
     spellings = (
         texts.select(*block, "_key", F.col("_first").alias("_right"))

@@ -39,7 +39,7 @@ def array_elements(text: Column) -> Column:
         .when(p.rlike(r"^\s*[\[{]") | F.try_parse_json(p).isNotNull(), p)
         .otherwise(F.regexp_replace(F.to_json(F.array(p)), r"(?s)^\[(.*)\]$", "$1")),
     )
-    return F.coalesce(F.transform(variants, F.to_json), quoted)
+    return F.coalesce(F.transform(variants, lambda v: F.to_json(v)), quoted)
 
 
 def explode_elements(files: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from hearthline.operators.dedup import exact_dedup
 from hearthline.operators.near_duplicates import drop_near_duplicates
 from hearthline.operators.quality import quality_metrics, stage_counts
 from hearthline.operators.validate import rejected_events, valid_events, with_rejection_reason
-from hearthline.schemas import ARRIVAL, IDENTITY, SIMILARITY_THRESHOLD
+from hearthline.schemas import ARRIVAL, BRONZE, IDENTITY, SIMILARITY_THRESHOLD
 
 
 @dataclass(frozen=True)
@@ -58,8 +58,8 @@ def build_silver(bronze: DataFrame, processed_at: str, options: SilverOptions =
     judged = with_rejection_reason(bronze, options.lenient_times)
     stamp = F.lit(processed_at).alias("_silver_processed_at")
     valid = valid_events(judged, options.device_type_mode)
-    events = deduplicated(valid, options).select("*", stamp)
-    rejected = rejected_events(judged)
-    reason = F.col("_rejection_reason")
-    dead = rejected.select(*[c for c in rejected.columns if c != "_rejection_reason"], stamp, reason)
+    columns = [f.name for f in BRONZE.fields if f.name in valid.columns]
+    columns += [c for c in valid.columns if c not in columns]
+    events = deduplicated(valid, options).select(*columns, stamp)
+    dead = rejected_events(judged).select(*columns, stamp, "_rejection_reason")
     return Silver(events, dead, stage_counts(judged, events, options.device_type_mode))

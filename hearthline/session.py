@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "hearthline", master: str | None = None, **conf: object) -> SparkSession:
@@ -37,3 +37,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="hearthline-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table written to the shared folder.
+
+    Cuts the lineage, survives lost executors, and gives the planner the real size, by which it decides
+    whether a join may broadcast the table.
+    """
+    path = shared_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

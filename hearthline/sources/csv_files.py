@@ -19,11 +19,12 @@ def write_csv(rows: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of CSV files with a header; every column of `schema` is read as text."""
+    """Rows of CSV files whose header names the columns of `schema`; every column is read as text."""
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     return (
         spark.read.schema(texts)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("multiLine", True)
         .option("escape", '"')
         .csv(path)

@@ -42,30 +42,41 @@ _DISHWASHER = f"""case
  else concat('{{"Temperature": ', {_V}, ', "Temperature_Unit": "', {_UNIT}, '"',
  case when event_id % 11 = 0 then '' else concat(', "QuickPowerWashActive": ', event_id % 2) end, '}}') end"""
 
-# (column, rule) in the order of evaluation; later rules may use the columns of the first step
-FIRST_STEP = {
+# Per event. Later steps may use the columns of earlier ones.
+PER_EVENT = {
+    "event_id": "event_id",
+    "_batch_id": "cast(floor(event_id / 1000) as bigint)",
     "DeviceId": "concat(case when user_id % 4 = 3 then 'syn_' else 'dev_' end, user_id)",
     "DeviceType": """case when user_id % 10 < 5 then 'Washing machine' when user_id % 10 < 8 then 'Coffee Machine'
  when user_id % 10 = 8 then 'Dishwasher' else 'Refrigerator' end""",
-    "TimestampUTC": """case when event_id % 97 = 0 then 'not-a-date'
- else concat({time}, case when event_id % 3 = 0 and kind <> 1 then 'Z' else '' end) end""",
-    "Status": f"""case when kind = 2 and event_id % 50 = 1 then replace({_STATUS}, 'Program S', 'Program s')
- when kind = 2 and event_id % 89 <> 0 then concat({_STATUS}, 's')
- else {_STATUS} end""",
+    "plain_time": "case when event_id % 97 = 0 then 'not-a-date' else {time} end",
+    "zone": "case when event_id % 3 = 0 and event_id % 97 <> 0 then 'Z' else '' end",
+    "plain_status": _STATUS,
+    "near_status": f"""case when event_id % 50 = 1 then replace({_STATUS}, 'Program S', 'Program s')
+ when event_id % 89 = 0 then {_STATUS} else concat({_STATUS}, 's') end""",
     "Attributes": f"""case when user_id % 10 < 5 then {_WASHING} when user_id % 10 < 8 then {_COFFEE}
  when user_id % 10 = 8 then {_DISHWASHER} else concat('{{"QuickPowerWashActive": ', event_id % 2, '}}') end""",
+}
+
+# Per event and kind of copy.
+PER_COPY = {
+    "DeviceId": "DeviceId",
+    "TimestampUTC": "case when kind = 1 then plain_time else concat(plain_time, zone) end",
+    "DeviceType": "DeviceType",
+    "Status": "case when kind = 2 then near_status else plain_status end",
+    "Attributes": "Attributes",
     "_ingested_at": "'2024-02-01T00:00:00Z'",
     "_source_file": "'events'",
     "_pos": "event_id * 3 + kind",
-    "_batch_id": "cast(floor(event_id / 1000) as bigint)",
+    "_batch_id": "_batch_id",
     "event_id": "event_id",
 }
 
 _MESSAGE = """concat('{"DeviceId": "', DeviceId, '", "TimestampUTC": "', TimestampUTC, '", "DeviceType": "', DeviceType,
  '", "Status": "', Status, '", "Attributes": ', Attributes, '}')"""
 
-# Record text: mostly the message; some are cut off, some are bare values.
-SECOND_STEP = {
+# Texts: mostly the message; some are cut off, some are bare values.
+TEXTS = {
     "message": _MESSAGE,
     "record": f"""case when event_id % 101 = 0 then substr({_MESSAGE}, 1, length({_MESSAGE}) - 1)
  when event_id % 103 = 0 then concat('', event_id)
@@ -76,8 +87,8 @@ SECOND_STEP = {
 }
 
 
-def _rules(time_sql: str) -> dict[str, str]:
-    return {name: sql.replace("{time}", time_sql) for name, sql in FIRST_STEP.items()}
+def _columns(rules: dict[str, str], time_sql: str = "", quote: str = "`") -> list[str]:
+    return [f"{sql.replace('{time}', time_sql)} as {quote}{name}{quote}" for name, sql in rules.items()]
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -86,19 +97,24 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze columns plus `_batch_id`, one row per device event."""
-    return messages(spark, sf_dir).drop("event_id", "message", "record", "element")
+    return _copies(spark, sf_dir).drop("event_id")
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device events with their message texts."""
-    events = load(spark, sf_dir, "events").withColumn("kind", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-    first = events.where(KINDS).selectExpr(*[f"{sql} as `{name}`" for name, sql in _rules(SPARK_TIME).items()])
-    return first.selectExpr("*", *[f"{sql} as `{name}`" for name, sql in SECOND_STEP.items()])
+    return _copies(spark, sf_dir).selectExpr("*", *_columns(TEXTS))
+
+
+def _copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events").selectExpr(*_columns(PER_EVENT, SPARK_TIME))
+    kinds = events.withColumn("kind", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).where(KINDS)
+    return kinds.selectExpr(*_columns(PER_COPY))
 
 
 def duckdb_device_events() -> str:
     """The same rows as a DuckDB query."""
-    first = ",\n".join(f'{sql} as "{name}"' for name, sql in _rules(DUCKDB_TIME).items())
-    second = ",\n".join(f'{sql} as "{name}"' for name, sql in SECOND_STEP.items())
-    return f"""select *, {second} from (
- select {first} from events, (values (0), (1), (2)) as kinds(kind) where {KINDS})"""
+    per_event, per_copy, texts = (
+        ",\n".join(_columns(rules, DUCKDB_TIME, '"')) for rules in (PER_EVENT, PER_COPY, TEXTS)
+    )
+    return f"""select *, {texts} from (
+ select {per_copy} from (select {per_event} from events), (values (0), (1), (2)) as kinds(kind) where {KINDS})"""

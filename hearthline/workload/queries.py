@@ -386,7 +386,10 @@ def replay_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def as_of_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.as_of_batch(_batch_table(spark, sf_dir), 4).select(*IDENTITY, "_pos")
+    """The table as it was before its last batch."""
+    table = _batch_table(spark, sf_dir)
+    last = table.agg(F.max("_batch_id").alias("last")).first().last
+    return tables.as_of_batch(table, last - 1).select(*IDENTITY, "_pos")
 
 
 def batch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
