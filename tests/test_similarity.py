@@ -99,7 +99,7 @@ def test_similar_keys_always_share_a_chunk(spark):
                 assert r.hit, (r, threshold)
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.text(max_size=8), st.text(max_size=8)), min_size=1, max_size=5))
 def test_score_is_symmetric_and_bounded(spark, pairs):
     clean = [(a.replace("\x00", ""), b.replace("\x00", "")) for a, b in pairs]
