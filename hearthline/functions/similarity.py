@@ -111,9 +111,10 @@ def token_sort_ratio(a: Column, b: Column, case_insensitive: bool = True) -> Col
 #
 # Two keys a, b (len(a) <= len(b)) score at least t only if
 #     d = len(a) + len(b) - 2 * LCS <= (100 - t) / 100 * (len(a) + len(b)).
-# Each of the d unmatched characters can spoil one of the disjoint chunks a is cut into, so with more
-# than d chunks at least one occurs unchanged in b. Where the threshold is so low that a has fewer
-# characters than the chunks needed, every character is a chunk: a positive score shares one.
+# Each of the d unmatched characters can spoil one of the disjoint chunks a is cut into, so of any d + 1
+# chunks at least one occurs unchanged in b. Chunks are cut a little shorter than that needs, which
+# leaves a choice of which to use: the rarest. Where the threshold is so low that a has fewer characters
+# than the chunks needed, every character is a chunk, and a positive score shares one.
 # The small addend keeps rounding from ever lowering a bound; raising it only costs extra candidates.
 _EPS = 1e-9
 
@@ -123,22 +124,23 @@ def longest_partner(length: Column, threshold: float) -> Column:
     return F.floor(length * (200.0 - threshold) / threshold + _EPS).cast("int")
 
 
-def _chunk_count(length: Column, threshold: float) -> Column:
+def chunks_needed(length: Column, threshold: float) -> Column:
+    """How many disjoint chunks of a key make sure that a similar key contains one of them."""
     reach = length + longest_partner(length, threshold)
     return F.floor(reach * (100.0 - threshold) / 100.0 + _EPS).cast("int") + 1
 
 
 def _chunk_size(length: Column, threshold: float) -> Column:
-    return F.greatest(F.lit(1), F.floor(length / _chunk_count(length, threshold)).cast("int"))
+    longest = F.floor(length / chunks_needed(length, threshold)).cast("int")
+    return F.when(longest >= 3, longest - 1).otherwise(F.greatest(F.lit(1), longest))
 
 
 def key_chunks(key: Column, threshold: float) -> Column:
-    """Distinct chunks of a non-empty key, one of which every longer similar key contains."""
+    """Disjoint chunks of a non-empty key, in order."""
     n = F.length(key)
     size = _chunk_size(n, threshold)
-    count = F.least(n, _chunk_count(n, threshold))
-    return F.array_distinct(
-        F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(key, i * size + 1, size))
+    return F.transform(
+        F.sequence(F.lit(0), F.floor(n / size).cast("int") - 1), lambda i: F.substring(key, i * size + 1, size)
     )
 
 
@@ -160,8 +162,8 @@ def similar_keys(a: Column, b: Column, threshold: float) -> Column:
     With d the number of unmatched characters, levenshtein <= d <= 2 * levenshtein.
     """
     la, lb = F.length(a), F.length(b)
-    allowed = F.floor((la + lb) * (100.0 - threshold) / 100.0 + _EPS)
-    edits = F.levenshtein(a, b)
+    allowed = F.floor((la + lb) * (100.0 - threshold) / 100.0 + _EPS).cast("int")
+    edits = F.call_function("levenshtein", a, b, allowed)  # -1 beyond the allowed number
     close_lengths = F.greatest(la, lb) <= longest_partner(F.least(la, lb), threshold)
-    undecided = (edits <= allowed) & (key_ratio(a, b) >= threshold)
-    return (a == b) | ((la > 0) & (lb > 0) & close_lengths & ((edits * 2 <= allowed) | undecided))
+    decided = (edits * 2 <= allowed) | (key_ratio(a, b) >= threshold)
+    return (a == b) | ((la > 0) & (lb > 0) & close_lengths & (edits >= 0) & decided)

@@ -31,12 +31,12 @@ def duplicate_keys(events: DataFrame, key: Sequence[str] = IDENTITY) -> DataFram
 
 
 def restrict_to_keys(events: DataFrame, keys: DataFrame, key: Sequence[str] = IDENTITY) -> DataFrame:
-    """Rows whose key occurs in `keys`."""
-    return events.join(keys.select(*key), list(key), "left_semi")
+    """Rows whose key occurs in `keys`; copies in `keys` are thinned out before they are shuffled."""
+    return events.join(keys.select(*key).distinct(), list(key), "left_semi")
 
 
 def upsert(table: DataFrame, updates: DataFrame, order: Sequence[str] = ARRIVAL, key: Sequence[str] = IDENTITY) -> DataFrame:
     """Table rows whose key is not updated, plus the first arrival per updated key."""
     incoming = exact_dedup(updates, order, key)
-    kept = table.join(updates.select(*key), list(key), "left_anti")
+    kept = table.join(incoming.select(*key), list(key), "left_anti")
     return kept.unionByName(incoming)

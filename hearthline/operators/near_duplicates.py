@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions.similarity import (
+    chunks_needed,
     key_chunks,
     key_grams,
     key_ratio,
@@ -67,11 +68,34 @@ def _first_arrivals(rows: DataFrame, by: Sequence[str], order: Sequence[str]) ->
 
 def first_keys(keyed: DataFrame, block: Sequence[str], order: Sequence[str]) -> DataFrame | None:
     """First arrival of each key, for blocks with at least two keys: block, `_key`, `_first`."""
-    mixed = staged(_mixed_blocks(keyed, block, "_key"), "mixed-blocks")
-    if mixed.isEmpty():
-        return None
-    return staged(
-        _first_arrivals(keyed.join(mixed, list(block), "left_semi"), [*block, "_key"], order), "first-keys"
+    by = [*block, "_key"]
+    if "TimestampUTC" in block:
+        # Few blocks are mixed, so the others leave before the keys are grouped.
+        mixed = staged(_mixed_blocks(keyed, block, "_key"), "mixed-blocks")
+        if mixed.isEmpty():
+            return None
+        return staged(_first_arrivals(keyed.join(mixed, list(block), "left_semi"), by, order), "first-keys")
+    # Few keys per device, so grouping thins the rows out first.
+    firsts = staged(_first_arrivals(keyed, by, order), "first-keys")
+    return firsts.join(_mixed_blocks(firsts, block, "_key"), list(block), "left_semi")
+
+
+def _rarest_chunks(keys: DataFrame, grams: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+    """The chunks each key is looked up by: as many as needed, those fewest keys of the block contain."""
+    spread = grams.groupBy(*block, "_gram").agg(F.count("*").alias("_holders"))
+    chunks = keys.select(
+        *block, "_key", "_first", "_open", F.explode(key_chunks(F.col("_key"), threshold)).alias("_gram")
+    )
+    ranked = (
+        chunks.join(spread, [*block, "_gram"])
+        .groupBy(*block, "_key", "_first", "_open")
+        .agg(F.sort_array(F.collect_list(F.struct("_holders", "_gram"))).alias("_ranked"))
+    )
+    chosen = F.slice("_ranked", F.lit(1), chunks_needed(F.length("_key"), threshold))
+    return ranked.select(
+        *block,
+        F.struct("_key", "_first", "_open").alias("_s"),
+        F.array_distinct(F.transform(chosen, lambda c: c["_gram"])).alias("_chunks"),
     )
 
 
@@ -82,28 +106,23 @@ def _shared_substring_pairs(crowded: DataFrame, block: Sequence[str], threshold:
     several chunks is taken at the first of them.
     """
     nonempty = crowded.where(F.length("_key") > 0)
-    short = (
-        nonempty.withColumn("_chunks", key_chunks(F.col("_key"), threshold))
-        .select(
-            *block,
-            F.struct("_key", "_first", "_open").alias("_s"),
-            "_chunks",
-            F.posexplode("_chunks").alias("_no", "_gram"),
-        )
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    )
-    long = nonempty.select(
+    grams = nonempty.select(
         *block,
         F.struct("_key", "_first", "_open").alias("_l"),
         F.pmod(F.xxhash64("_key"), F.lit(SPREAD)).cast("int").alias("_salt"),
         F.explode(key_grams(F.col("_key"), threshold)).alias("_gram"),
     )
+    chunks = (
+        _rarest_chunks(nonempty, grams, block, threshold)
+        .select("*", F.posexplode("_chunks").alias("_no", "_gram"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    )
     s_len, l_len = F.length("_s._key"), F.length("_l._key")
     later_open = F.when(F.col("_s._first") < F.col("_l._first"), F.col("_l._open")).otherwise(F.col("_s._open"))
     seen_before = F.exists(
         F.slice("_chunks", F.lit(1), F.col("_no")), lambda c: F.contains(F.col("_l._key"), c)
     )
-    return short.join(long, [*block, "_gram", "_salt"]).where(
+    return chunks.join(grams, [*block, "_gram", "_salt"]).where(
         ((s_len < l_len) | ((s_len == l_len) & (F.col("_s._key") < F.col("_l._key"))))
         & (l_len <= longest_partner(s_len, threshold))
         & later_open
@@ -182,9 +201,12 @@ def candidate_pairs(
     """
     block = block_columns(match_timestamp)
     keyed = _with_key(events, case_insensitive)
-    mixed = staged(_mixed_blocks(keyed, block, "Status"), "mixed-blocks")
-    rows = keyed.join(mixed, block, "left_semi").withColumn("_text", F.col("Status"))
-    texts = staged(_first_arrivals(rows, [*block, "_key", "_text"], order), "first-texts")
+    spelled = keyed.withColumn("_text", F.col("Status"))
+    by = [*block, "_key", "_text"]
+    if match_timestamp:
+        mixed = staged(_mixed_blocks(keyed, block, "Status"), "mixed-blocks")
+        spelled = spelled.join(mixed, block, "left_semi")
+    texts = staged(_first_arrivals(spelled, by, order), "first-texts")
     firsts = texts.groupBy(*block, "_key").agg(F.min("_first").alias("_first"))
     spellings = (
         texts.select(*block, "_key", F.col("_first").alias("_right"))

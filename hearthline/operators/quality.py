@@ -132,7 +132,7 @@ def unrouted_events(silver: DataFrame, gold_tables: Mapping[str, DataFrame]) ->
     for table in gold_tables.values():
         keys = table.select(*IDENTITY)
         routed = keys if routed is None else routed.unionByName(keys)
-    return silver.select(*IDENTITY).join(routed, IDENTITY, "left_anti")
+    return silver.select(*IDENTITY).join(routed.distinct(), IDENTITY, "left_anti")
 
 
 def routing_counts(silver: DataFrame, gold_tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from hearthline.operators.devices import unknown_types
 from hearthline.operators.ordering import clustered
-from hearthline.operators.quality import enforce, quality_alerts, quality_metrics, stage_counts
+from hearthline.operators.quality import enforce, quality_alerts, quality_metrics
 from hearthline.operators.summary import ordered_summary
-from hearthline.operators.validate import with_rejection_reason
 from hearthline.plans.bronze import read_bronze, read_bronze_dead_letters, write_bronze
 from hearthline.plans.gold import DEVICE_TABLES, build_gold
 from hearthline.plans.silver import SilverOptions, build_silver
@@ -94,10 +93,7 @@ def run_silver(
     silver = build_silver(bronze, processed_at or utc_now(), options)
     overwrite_table(clustered(silver.events), f"{output}/silver")
     overwrite_table(silver.dead_letters, f"{output}/silver_dead_letter")
-    stages = stage_counts(
-        with_rejection_reason(bronze, options.lenient_times), read_silver(spark, output), options.device_type_mode
-    )
-    counters = quality_metrics(stages).first()
+    counters = quality_metrics(silver.stages_for(read_silver(spark, output))).first()
     checks = quality_alerts(spark.createDataFrame([counters]))
     return SilverResult(**counters.asDict()), checks
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,13 +29,39 @@ class SilverOptions:
     order: Sequence[str] = field(default_factory=lambda: list(ARRIVAL))
 
 
-@dataclass(frozen=True)
 class Silver:
-    """The lazy outputs of the layer."""
+    """The outputs of the layer, each built when it is first asked for."""
+
+    def __init__(self, bronze: DataFrame, processed_at: str, options: SilverOptions):
+        self._judged = with_rejection_reason(bronze, options.lenient_times)
+        self._stamp = F.lit(processed_at).alias("_silver_processed_at")
+        self._options = options
+        names = [f.name for f in BRONZE.fields]
+        extra = [c for c in bronze.columns if c not in names]
+        self._columns = [c for c in names if c in self._judged.columns] + extra
+
+    @cached_property
+    def valid(self) -> DataFrame:
+        """Accepted events before deduplication."""
+        return valid_events(self._judged, self._options.device_type_mode)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """Silver events. Looking for near duplicates runs a few narrow jobs first."""
+        return deduplicated(self.valid, self._options).select(*self._columns, self._stamp)
+
+    @cached_property
+    def dead_letters(self) -> DataFrame:
+        """Rejected rows with the reason."""
+        return rejected_events(self._judged).select(*self._columns, self._stamp, "_rejection_reason")
+
+    def stages_for(self, events: DataFrame) -> DataFrame:
+        """Rows per stage, with the silver events given, for example as read back from their table."""
+        return stage_counts(self._judged, events, self._options.device_type_mode)
 
-    events: DataFrame
-    dead_letters: DataFrame
-    stages: DataFrame
+    @property
+    def stages(self) -> DataFrame:
+        return self.stages_for(self.events)
 
     @property
     def metrics(self) -> DataFrame:
@@ -54,12 +81,5 @@ def deduplicated(valid: DataFrame, options: SilverOptions) -> DataFrame:
 
 
 def build_silver(bronze: DataFrame, processed_at: str, options: SilverOptions = SilverOptions()) -> Silver:
-    """Silver events, dead letters with the reason, and row counts per stage. Nothing runs yet."""
-    judged = with_rejection_reason(bronze, options.lenient_times)
-    stamp = F.lit(processed_at).alias("_silver_processed_at")
-    valid = valid_events(judged, options.device_type_mode)
-    columns = [f.name for f in BRONZE.fields if f.name in valid.columns]
-    columns += [c for c in valid.columns if c not in columns]
-    events = deduplicated(valid, options).select(*columns, stamp)
-    dead = rejected_events(judged).select(*columns, stamp, "_rejection_reason")
-    return Silver(events, dead, stage_counts(judged, events, options.device_type_mode))
+    """Silver events, dead letters and row counts per stage of a bronze table."""
+    return Silver(bronze, processed_at, options)
