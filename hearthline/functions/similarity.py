@@ -38,15 +38,18 @@ def lcs_length(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence of two non-empty strings of any length.
 
     The shorter text is held as words of bits, one bit per character; each character of the longer text
-    updates them with one addition per word, so the work grows with len(a) * len(b) / WORD.
+    updates them with one addition per word, so the work grows with len(a) * len(b) / WORD. Texts of one
+    word, the usual case, do without the list of words and the carry between them.
     """
     a_is_shorter = F.length(a) <= F.length(b)
     short = F.when(a_is_shorter, a).otherwise(b)
     long = F.when(a_is_shorter, b).otherwise(a)
 
-    def occurrences(chars: Column, char: Column) -> Column:
-        bits = F.transform(chars, lambda c, i: F.when(c == char, _bit(i)).otherwise(F.lit(0).cast("bigint")))
-        return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, bit: acc.bitwiseOR(bit))
+    def occurrences(chunk: Column, char: Column) -> Column:
+        """Bit i is set where the chunk, read backwards, has the character i places from its end."""
+        zeros = F.repeat(F.lit("0"), F.length(chunk))
+        ones = F.call_function("translate", chunk, F.concat(char, chunk), F.concat(F.lit("1"), zeros))
+        return F.conv(ones, 2, 10).cast("bigint")
 
     def add_word(state: Column, masks: Column) -> Callable[[Column, Column], Column]:
         def step(acc: Column, w: Column) -> Column:
@@ -73,7 +76,7 @@ def lcs_length(a: Column, b: Column) -> Column:
         per_word = F.transform(
             words,
             lambda word, w: F.bit_count(
-                F.bitwise_not(word).bitwiseAND(_bit(F.size(F.get(chunks, w))) - F.lit(1).cast("bigint"))
+                F.bitwise_not(word).bitwiseAND(_bit(F.length(F.get(chunks, w))) - F.lit(1).cast("bigint"))
             ),
         )
         return F.aggregate(per_word, F.lit(0), lambda acc, n: acc + n)
@@ -83,9 +86,18 @@ def lcs_length(a: Column, b: Column) -> Column:
         start = F.transform(chunks, lambda _: F.lit(WORD_MASK))
         return F.aggregate(masks, start, consume, lambda words: matched(words, chunks))
 
-    chars = F.split(short, "")
+    def one_word(chunk: Column) -> Column:
+        masks = F.transform(F.split(long, ""), lambda ch: occurrences(chunk, ch))
+        word = F.aggregate(
+            masks,
+            F.lit(WORD_MASK),
+            lambda w, m: (w + w.bitwiseAND(m)).bitwiseAND(F.lit(WORD_MASK)).bitwiseOR(w.bitwiseAND(F.bitwise_not(m))),
+        )
+        return F.bit_count(F.bitwise_not(word).bitwiseAND(_bit(F.length(chunk)) - F.lit(1).cast("bigint")))
+
     starts = F.sequence(F.lit(1), F.length(short), F.lit(WORD))
-    return _bind(F.transform(starts, lambda s: F.slice(chars, s, WORD)), run)
+    many_words = _bind(F.transform(starts, lambda s: F.reverse(F.substring(short, s, F.lit(WORD)))), run)
+    return F.when(F.length(short) <= WORD, _bind(F.reverse(short), one_word)).otherwise(many_words)
 
 
 def key_ratio(a: Column, b: Column) -> Column:
@@ -159,11 +171,13 @@ def key_grams(key: Column, threshold: float) -> Column:
 def similar_keys(a: Column, b: Column, threshold: float) -> Column:
     """`key_ratio(a, b) >= threshold`, deciding most pairs without the subsequence.
 
-    With d the number of unmatched characters, levenshtein <= d <= 2 * levenshtein.
+    With d the number of unmatched characters, levenshtein <= d <= 2 * levenshtein, and characters that
+    the other key lacks altogether are all unmatched.
     """
     la, lb = F.length(a), F.length(b)
     allowed = F.floor((la + lb) * (100.0 - threshold) / 100.0 + _EPS).cast("int")
     edits = F.call_function("levenshtein", a, b, allowed)  # -1 beyond the allowed number
     close_lengths = F.greatest(la, lb) <= longest_partner(F.least(la, lb), threshold)
-    decided = (edits * 2 <= allowed) | (key_ratio(a, b) >= threshold)
+    alien = F.length(F.call_function("translate", a, b, F.lit(""))) + F.length(F.call_function("translate", b, a, F.lit("")))
+    decided = (edits * 2 <= allowed) | ((alien <= allowed) & (key_ratio(a, b) >= threshold))
     return (a == b) | ((la > 0) & (lb > 0) & close_lengths & (edits >= 0) & decided)

@@ -122,7 +122,11 @@ def _shared_substring_pairs(crowded: DataFrame, block: Sequence[str], threshold:
     seen_before = F.exists(
         F.slice("_chunks", F.lit(1), F.col("_no")), lambda c: F.contains(F.col("_l._key"), c)
     )
-    return chunks.join(grams, [*block, "_gram", "_salt"]).where(
+    # A fixed number of partitions: merged by their size, which is small, they would leave the many
+    # comparisons to few tasks.
+    by = [*block, "_gram", "_salt"]
+    n = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return chunks.repartition(n, *by).join(grams.repartition(n, *by), by).where(
         ((s_len < l_len) | ((s_len == l_len) & (F.col("_s._key") < F.col("_l._key"))))
         & (l_len <= longest_partner(s_len, threshold))
         & later_open

@@ -76,8 +76,11 @@ def parse_records(records: DataFrame) -> DataFrame:
     text = F.col("value")
     others = [F.col(c) for c in records.columns if c not in ("value", "_file_error")]
     file_error = F.col("_file_error") if "_file_error" in records.columns else F.lit(None).cast("string")
-    message = _sole_element(F.from_json(_wrapped(text), f"array<{MESSAGE.simpleString()}>"))
-    parsed = records.select(*others, text.alias("value"), file_error.alias("_file_error"), message.alias("_m"))
+    messages = F.from_json(_wrapped(text), f"array<{MESSAGE.simpleString()}>")
+    # Exploding a one-element array keeps later filters and columns from repeating the parse.
+    parsed = records.select(
+        *others, text, file_error.alias("_file_error"), F.explode(F.array(messages)).alias("_messages")
+    ).select(*others, text, "_file_error", _sole_element(F.col("_messages")).alias("_m"))
     # Only rows without a message object pay for the second parse.
     scalar = F.when(F.col("_m").isNull(), F.try_parse_json(_wrapped(text)))
     is_value = F.col("_m").isNotNull() | (F.size(F.try_variant_get(scalar, "$", "array<variant>")) == 1)

@@ -48,7 +48,7 @@ def random_pairs(seed, lengths, alphabets, n):
 
 
 def test_lcs_matches_the_plain_table(spark):
-    pairs = random_pairs(1, [1, 2, 13, 60, 61, 62, 122, 123, 200], ["ab", "abc de", "日本語é"], 300)
+    pairs = random_pairs(1, [1, 2, 13, 60, 61, 62, 122, 123, 200], ["ab", "abc de", "日本語é", "😀😁a"], 300)
     pairs = [(a, b) for a, b in pairs if a and b]
     rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", lcs_length(F.col("a"), F.col("b")).alias("n"))
     for r in rows.collect():
