@@ -5,12 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.operators.devices import unknown_types
 from hearthline.operators.ordering import clustered
 from hearthline.operators.quality import enforce, quality_alerts, quality_metrics
+from hearthline.operators.records import NOT_AN_ARRAY, NOT_JSON_FILE
 from hearthline.operators.summary import ordered_summary
 from hearthline.plans.bronze import read_bronze, read_bronze_dead_letters, write_bronze
 from hearthline.plans.gold import DEVICE_TABLES, build_gold
@@ -20,7 +23,6 @@ from hearthline.sources.csv_files import read_csv, write_csv
 from hearthline.sources.json_files import read_messages
 from hearthline.sources.tables import append_rows, overwrite_table, read_table
 
-
 # The run result names at most this many unknown device types; the fallback table holds them all.
 MAX_LISTED_TYPES = 1000
 
@@ -69,10 +71,19 @@ def run_bronze(
     layout: str = "array",
     on_bad_file: str = "fail",
 ) -> BronzeResult:
-    """Ingest message files as one batch; running a batch again replaces it."""
+    """Ingest message files as one batch; running a batch again replaces it.
+
+    With `on_bad_file='fail'` a file that is no JSON array raises ValueError and nothing is written.
+    """
     parsed = read_messages(spark, input_path, ingested_at or utc_now(), layout, on_bad_file)
     path = f"{output}/bronze"
-    write_bronze(parsed, path, batch_id)
+    try:
+        write_bronze(parsed, path, batch_id)
+    except (PySparkException, Py4JJavaError) as error:
+        for reason in (NOT_AN_ARRAY, NOT_JSON_FILE):
+            if f"{reason}: " in str(error):
+                raise ValueError(reason) from error
+        raise
     return BronzeResult(
         read_bronze(spark, path, batch_id).count(),
         read_bronze_dead_letters(spark, path, batch_id).count(),

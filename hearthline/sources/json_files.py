@@ -43,11 +43,11 @@ def line_records(spark: SparkSession, path: str | list[str], ingested_at: str) -
     return lines.where(F.col("value").rlike(r"\S"))
 
 
-def refuse_bad_files(records: DataFrame) -> None:
-    """Raise ValueError if a file is no JSON array; looks for a single such file only."""
-    bad = records.where(F.col("_file_error").isNotNull()).select("_source_file", "_file_error").take(1)
-    if bad:
-        raise ValueError(f"{bad[0]._file_error}: {bad[0]._source_file}")
+def refuse_bad_files(records: DataFrame) -> DataFrame:
+    """The records, with an error raised by whichever task meets a file that is no JSON array."""
+    message = F.concat(F.col("_file_error"), F.lit(": "), F.col("_source_file"))
+    raised = F.when(F.col("_file_error").isNotNull(), F.raise_error(message).cast("string"))
+    return records.withColumn("_file_error", raised)
 
 
 def read_messages(
@@ -59,7 +59,8 @@ def read_messages(
 ) -> DataFrame:
     """Parsed messages with `_raw_error`, from files in `array` or `lines` layout.
 
-    With `on_bad_file='dead_letter'` a file that is no JSON array becomes one dead letter.
+    A file that is no JSON array fails the job that reads the messages, or becomes one dead letter with
+    `on_bad_file='dead_letter'`.
     """
     if layout == "lines":
         return parse_records(line_records(spark, path, ingested_at))
@@ -69,5 +70,5 @@ def read_messages(
         raise ValueError(f"unknown on_bad_file {on_bad_file!r}")
     records = array_records(spark, path, ingested_at)
     if on_bad_file == "fail":
-        refuse_bad_files(records)
+        records = refuse_bad_files(records)
     return parse_records(records)

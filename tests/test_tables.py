@@ -146,8 +146,9 @@ def test_layers_on_an_empty_array(spark, message_file, tmp_path):
 
 def test_layers_refuse_a_bad_file(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"not": "an array"}')
-    with pytest.raises(ValueError, match="array"):
+    with pytest.raises(ValueError, match="expected a JSON array"):
         run_layers(spark, str(tmp_path / "x.json"), str(tmp_path / "out"))
+    assert not list((tmp_path / "out").rglob("*.parquet"))
 
 
 def test_streaming_bronze_equals_batch(spark, message_file, sample, tmp_path):
