@@ -8,8 +8,8 @@ on the token-sort key of the Status alone, only the first arrival of every (bloc
 2. blocks with a single key are settled; the steps below see the keys of the other blocks only;
 3. every key is compared with the first few keys of its block, which settles all blocks with no more
    keys than that;
-4. keys that are still open in larger blocks are matched through shared substrings, which finds every
-   similar pair (see functions.similarity) without forming the pairs of the block.
+4. keys that are still open in larger blocks look for an earlier similar key through shared substrings,
+   which misses none (see functions.similarity) and does not form the pairs of the block.
 
 Steps 2 to 4 work on narrow rows and run when the operator is called; their results, usually a small
 part of the data, are staged in the shared folder, and steps that have nothing to do are left out. Only
@@ -19,6 +19,7 @@ the first step moves whole events, once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from hearthline.functions.similarity import (
     similar_keys,
     token_sort_key,
 )
-from hearthline.operators.dedup import exact_dedup, first_n_per
+from hearthline.operators.dedup import first_n_per
 from hearthline.schemas import ARRIVAL, SIMILARITY_THRESHOLD
 from hearthline.session import staged
 
@@ -80,59 +81,96 @@ def first_keys(keyed: DataFrame, block: Sequence[str], order: Sequence[str]) ->
     return firsts.join(_mixed_blocks(firsts, block, "_key"), list(block), "left_semi")
 
 
-def _rarest_chunks(keys: DataFrame, grams: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
-    """The chunks each key is looked up by: as many as needed, those fewest keys of the block contain."""
-    spread = grams.groupBy(*block, "_gram").agg(F.count("*").alias("_holders"))
-    chunks = keys.select(
-        *block, "_key", "_first", "_open", F.explode(key_chunks(F.col("_key"), threshold)).alias("_gram")
+def _gram_rows(keys: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+    """One row per key and substring under which a shorter key may look it up: block, `_l`, `_gram`."""
+    return keys.select(
+        *block, F.struct("_key", "_first").alias("_l"), F.explode(key_grams(F.col("_key"), threshold)).alias("_gram")
     )
+
+
+def _chunk_rows(keys: DataFrame, grams: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+    """One row per key and chunk it is looked up by: block, `_s`, `_chunks`, `_no`, `_gram`.
+
+    Of its chunks each key uses as many as needed, those that fewest keys of the block contain.
+    """
+    holders = grams.groupBy(*block, "_gram").agg(F.count("*").alias("_holders"))
+    chunks = keys.select(*block, "_key", "_first", F.explode(key_chunks(F.col("_key"), threshold)).alias("_gram"))
     ranked = (
-        chunks.join(spread, [*block, "_gram"])
-        .groupBy(*block, "_key", "_first", "_open")
+        chunks.join(holders, [*block, "_gram"])
+        .groupBy(*block, "_key", "_first")
         .agg(F.sort_array(F.collect_list(F.struct("_holders", "_gram"))).alias("_ranked"))
     )
     chosen = F.slice("_ranked", F.lit(1), chunks_needed(F.length("_key"), threshold))
     return ranked.select(
         *block,
-        F.struct("_key", "_first", "_open").alias("_s"),
+        F.struct("_key", "_first").alias("_s"),
         F.array_distinct(F.transform(chosen, lambda c: c["_gram"])).alias("_chunks"),
-    )
+    ).select("*", F.posexplode("_chunks").alias("_no", "_gram"))
 
 
-def _shared_substring_pairs(crowded: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
-    """Pairs of similar keys whose later member is still open, each pair once.
+def _is_similar_pair(threshold: float) -> Column:
+    """For a shorter key `_s` found under chunk `_no` in a longer key `_l`.
 
-    The shorter key is looked up by its chunks among the substrings of the longer one; a pair sharing
-    several chunks is taken at the first of them.
+    A pair is judged at the first chunk it shares only, and two keys of one length in one order only.
     """
-    nonempty = crowded.where(F.length("_key") > 0)
-    grams = nonempty.select(
-        *block,
-        F.struct("_key", "_first", "_open").alias("_l"),
-        F.pmod(F.xxhash64("_key"), F.lit(SPREAD)).cast("int").alias("_salt"),
-        F.explode(key_grams(F.col("_key"), threshold)).alias("_gram"),
-    )
-    chunks = (
-        _rarest_chunks(nonempty, grams, block, threshold)
-        .select("*", F.posexplode("_chunks").alias("_no", "_gram"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    )
-    s_len, l_len = F.length("_s._key"), F.length("_l._key")
-    later_open = F.when(F.col("_s._first") < F.col("_l._first"), F.col("_l._open")).otherwise(F.col("_s._open"))
-    seen_before = F.exists(
-        F.slice("_chunks", F.lit(1), F.col("_no")), lambda c: F.contains(F.col("_l._key"), c)
+    s_key, l_key = F.col("_s._key"), F.col("_l._key")
+    s_len, l_len = F.length(s_key), F.length(l_key)
+    judged_before = F.exists(F.slice("_chunks", F.lit(1), F.col("_no")), lambda c: F.contains(l_key, c))
+    return (
+        ((s_len < l_len) | ((s_len == l_len) & (s_key < l_key)))
+        & (l_len <= longest_partner(s_len, threshold))
+        & ~judged_before
+        & similar_keys(s_key, l_key, threshold)
     )
-    # A fixed number of partitions: merged by their size, which is small, they would leave the many
-    # comparisons to few tasks.
+
+
+def _salted_join(
+    left: DataFrame, left_key: str, right: DataFrame, block: Sequence[str], condition: Column, how: str
+) -> DataFrame:
+    """Join on block and substring, with the left rows of a common substring spread over tasks.
+
+    The number of partitions is fixed: merged by their size, which is small, they would leave the many
+    comparisons to few tasks.
+    """
     by = [*block, "_gram", "_salt"]
-    n = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return chunks.repartition(n, *by).join(grams.repartition(n, *by), by).where(
-        ((s_len < l_len) | ((s_len == l_len) & (F.col("_s._key") < F.col("_l._key"))))
-        & (l_len <= longest_partner(s_len, threshold))
-        & later_open
-        & ~seen_before
-        & similar_keys(F.col("_s._key"), F.col("_l._key"), threshold)
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = left.withColumn("_salt", F.pmod(F.xxhash64(left_key), F.lit(SPREAD)).cast("int"))
+    copied = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    names = {c: f"_right_{c}" for c in by}
+    renamed = copied.repartition(n, *by).withColumnsRenamed(names)
+    same = reduce(lambda x, y: x & y, [F.col(c) == F.col(name) for c, name in names.items()])
+    return spread.repartition(n, *by).join(renamed, same & condition, how)
+
+
+def _similar_pairs(keys: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+    """All pairs of similar keys, each once: block, `_s`, `_l`."""
+    nonempty = keys.where(F.length("_key") > 0)
+    grams = _gram_rows(nonempty, block, threshold)
+    chunks = _chunk_rows(nonempty, grams, block, threshold)
+    pairs = _salted_join(grams, "_l._key", chunks, block, _is_similar_pair(threshold), "inner")
+    return pairs.select(*block, "_s", "_l")
+
+
+def _beaten(keys: DataFrame, is_open: Column, block: Sequence[str], threshold: float) -> DataFrame:
+    """Open keys with an earlier similar key: block and `_key`.
+
+    Semi-joins stop at the first such key, once with the open key as the shorter and once as the longer.
+    """
+    nonempty = keys.where(F.length("_key") > 0)
+    grams = _gram_rows(nonempty, block, threshold)
+    chunks = _chunk_rows(nonempty, grams, block, threshold)
+    opened = nonempty.where(is_open)
+    open_grams = _gram_rows(opened, block, threshold)
+    open_chunks = _chunk_rows(opened, grams, block, threshold)
+    similar = _is_similar_pair(threshold)
+    as_short = _salted_join(
+        open_chunks, "_s._key", grams, block, (F.col("_l._first") < F.col("_s._first")) & similar, "left_semi"
+    )
+    as_long = _salted_join(
+        open_grams, "_l._key", chunks, block, (F.col("_s._first") < F.col("_l._first")) & similar, "left_semi"
     )
+    found = as_short.select(*block, F.col("_s._key").alias("_key"))
+    return found.unionByName(as_long.select(*block, F.col("_l._key").alias("_key"))).distinct()
 
 
 def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads: int = HEADS) -> DataFrame:
@@ -158,15 +196,12 @@ def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads
         "judged-keys",
     )
     lost = judged.where("_lost").select(*block, "_key")
-    still_open = judged.where("_after_heads and not _lost").select(*block).distinct()
-    if still_open.isEmpty():
+    is_open = F.col("_after_heads") & ~F.col("_lost")
+    unsettled = judged.where(is_open).select(*block).distinct()
+    if unsettled.isEmpty():
         return lost
-    crowded = judged.join(still_open, list(block), "left_semi").withColumn(
-        "_open", F.expr("_after_heads and not _lost")
-    )
-    pairs = _shared_substring_pairs(crowded, block, threshold)
-    later = F.when(F.col("_s._first") < F.col("_l._first"), F.col("_l._key")).otherwise(F.col("_s._key"))
-    late = staged(pairs.select(*block, later.alias("_key")).distinct(), "late-keys")
+    crowded = judged.join(unsettled, list(block), "left_semi")
+    late = staged(_beaten(crowded, is_open, block, threshold), "late-keys")
     return lost.unionByName(late)
 
 
@@ -218,8 +253,7 @@ def candidate_pairs(
         .where(F.col("_left.Status") != F.col("_right.Status"))
         .select(*block, "_left", "_right", F.lit(100.0).alias("status_fuzzy"))
     )
-    pairs = _shared_substring_pairs(firsts.withColumn("_open", F.lit(True)), block, threshold)
-    similar = pairs.select(
+    similar = _similar_pairs(firsts, block, threshold).select(
         *block,
         F.least("_s._first", "_l._first").alias("_left"),
         F.greatest("_s._first", "_l._first").alias("_right"),
