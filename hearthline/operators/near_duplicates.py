@@ -109,21 +109,21 @@ def _chunk_rows(keys: DataFrame, grams: DataFrame, block: Sequence[str], thresho
 
 
 def _is_similar_pair(threshold: float) -> Column:
-    """For a shorter key `_s` found under chunk `_no` in a longer key `_l`.
-
-    A pair is judged at the first chunk it shares only, and two keys of one length in one order only.
-    """
+    """For a shorter key `_s` and a longer key `_l`; two keys of one length count in one order only."""
     s_key, l_key = F.col("_s._key"), F.col("_l._key")
     s_len, l_len = F.length(s_key), F.length(l_key)
-    judged_before = F.exists(F.slice("_chunks", F.lit(1), F.col("_no")), lambda c: F.contains(l_key, c))
     return (
         ((s_len < l_len) | ((s_len == l_len) & (s_key < l_key)))
         & (l_len <= longest_partner(s_len, threshold))
-        & ~judged_before
         & similar_keys(s_key, l_key, threshold)
     )
 
 
+def _at_first_shared_chunk() -> Column:
+    """No chunk of `_s` before `_no` occurs in `_l`."""
+    return ~F.exists(F.slice("_chunks", F.lit(1), F.col("_no")), lambda c: F.contains(F.col("_l._key"), c))
+
+
 def _salted_join(
     left: DataFrame, left_key: str, right: DataFrame, block: Sequence[str], condition: Column, how: str
 ) -> DataFrame:
@@ -147,7 +147,8 @@ def _similar_pairs(keys: DataFrame, block: Sequence[str], threshold: float) -> D
     nonempty = keys.where(F.length("_key") > 0)
     grams = _gram_rows(nonempty, block, threshold)
     chunks = _chunk_rows(nonempty, grams, block, threshold)
-    pairs = _salted_join(grams, "_l._key", chunks, block, _is_similar_pair(threshold), "inner")
+    condition = _at_first_shared_chunk() & _is_similar_pair(threshold)
+    pairs = _salted_join(grams, "_l._key", chunks, block, condition, "inner")
     return pairs.select(*block, "_s", "_l")
 
 
