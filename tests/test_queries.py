@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from hearthline.workload.oracle import ORACLE
+from hearthline.workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -25,13 +27,13 @@ def by_name(columns, rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    rows = queries()[name](spark, SF_DIR)
-    twin = con.sql(oracle_sql()[name])
+    rows = QUERIES[name](spark, SF_DIR)
+    twin = con.sql(ORACLE[name])
     assert sorted(rows.columns) == sorted(twin.columns)
     assert by_name(rows.columns, rows.collect()) == by_name(twin.columns, twin.fetchall())
 
