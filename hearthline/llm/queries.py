@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.llm.block_mixing import plan_mix, taken_words
+from hearthline.llm.boosted_quality import quality_scores
 from hearthline.llm.chat_grammar import conversation_digests, format_turns
 from hearthline.llm.common import documents, table
+from hearthline.llm.crf_pii import find_personal_data
 from hearthline.llm.line_rules import line_rules
 from hearthline.llm.speculative_bpe import bpe_encode
 
@@ -29,6 +31,14 @@ def op2_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(plan_mix(documents(spark, sf_dir)))
 
 
+def op4_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(documents(spark, sf_dir))
+
+
+def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op7_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(documents(spark, sf_dir), WORD_BPE, ids=False)
 
@@ -44,6 +54,8 @@ def op8_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_rules": op1_line_rules,
     "op2_block_mixing": op2_block_mixing,
+    "op4_crf_pii": op4_crf_pii,
+    "op5_boosted_quality": op5_boosted_quality,
     "op7_speculative_bpe": op7_speculative_bpe,
     "op8_chat_grammar": op8_chat_grammar,
 }
