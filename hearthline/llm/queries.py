@@ -12,6 +12,8 @@ from hearthline.llm.boosted_quality import quality_scores
 from hearthline.llm.chat_grammar import conversation_digests, format_turns
 from hearthline.llm.common import documents, table
 from hearthline.llm.crf_pii import find_personal_data
+from hearthline.llm.kneser_ney import kneser_ney_scores
+from hearthline.llm.learned_partitions import nearest
 from hearthline.llm.line_rules import line_rules
 from hearthline.llm.speculative_bpe import bpe_encode
 
@@ -51,6 +53,14 @@ def op8_chat_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_turns(turns))
 
 
+def op9_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney_scores(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_rules": op1_line_rules,
     "op2_block_mixing": op2_block_mixing,
@@ -58,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_boosted_quality": op5_boosted_quality,
     "op7_speculative_bpe": op7_speculative_bpe,
     "op8_chat_grammar": op8_chat_grammar,
+    "op9_learned_partitions": op9_learned_partitions,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 
 ORACLE: dict[str, str] = {}
