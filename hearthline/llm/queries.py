@@ -15,6 +15,7 @@ from hearthline.llm.crf_pii import find_personal_data
 from hearthline.llm.kneser_ney import kneser_ney_scores
 from hearthline.llm.learned_partitions import nearest
 from hearthline.llm.line_rules import line_rules
+from hearthline.llm.signature_trees import near_duplicates
 from hearthline.llm.speculative_bpe import bpe_encode
 
 try:
@@ -33,6 +34,10 @@ def op2_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(plan_mix(documents(spark, sf_dir)))
 
 
+def op3_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op4_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(documents(spark, sf_dir))
 
@@ -64,6 +69,7 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_rules": op1_line_rules,
     "op2_block_mixing": op2_block_mixing,
+    "op3_signature_trees": op3_signature_trees,
     "op4_crf_pii": op4_crf_pii,
     "op5_boosted_quality": op5_boosted_quality,
     "op7_speculative_bpe": op7_speculative_bpe,
