@@ -17,6 +17,7 @@ from hearthline.llm.learned_partitions import nearest
 from hearthline.llm.line_rules import line_rules
 from hearthline.llm.signature_trees import near_duplicates
 from hearthline.llm.speculative_bpe import bpe_encode
+from hearthline.llm.suffix_dedup import remove_repeats
 
 try:
     import public_tokenizers
@@ -46,6 +47,10 @@ def op5_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op7_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(documents(spark, sf_dir), WORD_BPE, ids=False)
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_signature_trees": op3_signature_trees,
     "op4_crf_pii": op4_crf_pii,
     "op5_boosted_quality": op5_boosted_quality,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_speculative_bpe": op7_speculative_bpe,
     "op8_chat_grammar": op8_chat_grammar,
     "op9_learned_partitions": op9_learned_partitions,
