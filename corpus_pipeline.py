@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from hearthline.llm.block_mixing import mixed_documents
 from hearthline.llm.common import DOCUMENT_COLUMNS, documents, table
+from hearthline.llm.crf_pii import find_personal_data
 from hearthline.llm.line_rules import line_rules
 from hearthline.llm.queries import WORD_BPE
+from hearthline.llm.signature_trees import near_duplicates
 from hearthline.llm.speculative_bpe import bpe_encode
 from hearthline.session import staged
 
@@ -18,6 +21,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("kept").select(DOCUMENT_COLUMNS)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id (of rows with that id the one
+    with the most shingles). Documents without a word are no group and all stay."""
+    found = near_duplicates(docs)
+    first = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), F.col("n_shingles").desc())
+    heads = found.where("n_shingles > 0").withColumn("place", F.row_number().over(first)).where("place = 1").select(F.col("doc_id").alias("head"))
+    kept = docs.join(heads.distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("head")), "left_semi")
+    wordless = docs.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return kept.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).unionByName(wordless).select(DOCUMENT_COLUMNS)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by the name of its kind."""
+    found = find_personal_data(docs, carry=["doc_id", "lang", "source"], with_text=True)
+    text = F.col("redacted_text")
+    return found.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes, a row per document and epoch."""
     return mixed_documents(docs).select(DOCUMENT_COLUMNS)
@@ -28,7 +49,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_encode(docs, WORD_BPE)
 
 
-STAGES = [("quality", quality), ("mix", mix), ("encode", encode)]
+STAGES = [("quality", quality), ("near_copies", near_copies), ("personal_data", personal_data), ("mix", mix), ("encode", encode)]
 
 #: Trained models decide in three stages, so no SQL gives these rows; tests hold every stage against brute force.
 ORACLE_SQL = None

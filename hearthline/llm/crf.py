@@ -64,8 +64,9 @@ class LinearChainCRF:
         n, longest, d = x.shape
         mask = np.arange(longest)[None] < lengths[:, None]
         one = np.eye(states)[y] * mask[..., None]
-        seen_e = np.einsum("ntd,ntk->dk", x, one)
-        seen_t = np.einsum("ntj,ntk->jk", one[:, :-1], one[:, 1:])
+        flat = x.reshape(-1, d)
+        seen_e = flat.T @ one.reshape(-1, states)
+        seen_t = one[:, :-1].reshape(-1, states).T @ one[:, 1:].reshape(-1, states)
         seen_s = one[:, 0].sum(axis=0)
         params = [np.zeros((d, states)), np.zeros((states, states)), np.zeros(states)]
         moments = [[np.zeros_like(p), np.zeros_like(p)] for p in params]
@@ -86,7 +87,7 @@ class LinearChainCRF:
                 joint = np.exp(alpha[:, t][:, :, None] + onward - log_z[:, None, None])
                 pair += (joint * mask[:, t + 1, None, None]).sum(axis=0)
             node = np.exp(alpha + beta - log_z[:, None, None]) * mask[..., None]
-            grads = [seen_e - np.einsum("ntd,ntk->dk", x, node), seen_t - pair, seen_s - node[:, 0].sum(axis=0)]
+            grads = [seen_e - flat.T @ node.reshape(-1, states), seen_t - pair, seen_s - node[:, 0].sum(axis=0)]
             for p, g, m in zip(params, grads, moments):
                 g = g / count - l2 * p
                 m[0] = 0.9 * m[0] + 0.1 * g
