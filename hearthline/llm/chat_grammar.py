@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
 
-_TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + r"\n", re.S)
+_TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END), re.S)
 _MARK = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _ROLE_CODE = {"\\": "\\\\", "\n": "\\n"}
@@ -61,10 +61,10 @@ def parse(rendered: str) -> list[tuple[str, str]] | None:
     turns, at = [], 0
     while at < len(rendered):
         m = _TURN.match(rendered, at)
-        if m is None or START in m[1] or END in m[1] or START in m[2]:
+        if m is None or START in m[1] or END in m[1] or START in m[2] or rendered[m.end() : m.end() + 1] != "\n":
             return None
         turns.append((_unescape_role(m[1]), unescape(m[2])))
-        at = m.end()
+        at = m.end() + 1
     return turns
 
 

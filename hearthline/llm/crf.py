@@ -64,8 +64,8 @@ class LinearChainCRF:
         n, longest, d = x.shape
         mask = np.arange(longest)[None] < lengths[:, None]
         one = np.eye(states)[y] * mask[..., None]
-        flat = x.reshape(-1, d)
-        seen_e = flat.T @ one.reshape(-1, states)
+        flat = x[mask].astype(np.float32)
+        seen_e = flat.T @ one[mask].astype(np.float32)
         seen_t = one[:, :-1].reshape(-1, states).T @ one[:, 1:].reshape(-1, states)
         seen_s = one[:, 0].sum(axis=0)
         params = [np.zeros((d, states)), np.zeros((states, states)), np.zeros(states)]
@@ -73,7 +73,8 @@ class LinearChainCRF:
         count = mask.sum()
         for step in range(1, steps + 1):
             e, tr, st = params
-            s = x @ e
+            s = np.zeros((n, longest, states))
+            s[mask] = flat @ e.astype(np.float32)
             alpha = np.empty((n, longest, states))
             alpha[:, 0] = st + s[:, 0]
             for t in range(1, longest):
@@ -87,7 +88,7 @@ class LinearChainCRF:
                 joint = np.exp(alpha[:, t][:, :, None] + onward - log_z[:, None, None])
                 pair += (joint * mask[:, t + 1, None, None]).sum(axis=0)
             node = np.exp(alpha + beta - log_z[:, None, None]) * mask[..., None]
-            grads = [seen_e - flat.T @ node.reshape(-1, states), seen_t - pair, seen_s - node[:, 0].sum(axis=0)]
+            grads = [seen_e - flat.T @ node[mask].astype(np.float32), seen_t - pair, seen_s - node[:, 0].sum(axis=0)]
             for p, g, m in zip(params, grads, moments):
                 g = g / count - l2 * p
                 m[0] = 0.9 * m[0] + 0.1 * g

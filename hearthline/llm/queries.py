@@ -15,6 +15,7 @@ from hearthline.llm.crf_pii import find_personal_data
 from hearthline.llm.kneser_ney import kneser_ney_scores
 from hearthline.llm.learned_partitions import nearest
 from hearthline.llm.line_rules import line_rules
+from hearthline.llm.oracle import ORACLE  # noqa: F401  the twins of these queries
 from hearthline.llm.signature_trees import near_duplicates
 from hearthline.llm.speculative_bpe import bpe_encode
 from hearthline.llm.suffix_dedup import remove_repeats
@@ -83,5 +84,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_learned_partitions": op9_learned_partitions,
     "op10_kneser_ney": op10_kneser_ney,
 }
-
-ORACLE: dict[str, str] = {}
