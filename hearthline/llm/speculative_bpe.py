@@ -22,6 +22,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -35,8 +36,12 @@ WORD_END = "</w>"
 BLANK = r"\t-\r \x85\xa0  -     　"
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
 NEVER = np.int64(2**62)
+#: Stands for the word end in the automaton; the number of an end that no token takes in.
+CLOSE, LOOSE = "\0", -1
 #: Words whose result a worker remembers, and the longest that it does.
-REMEMBERED, LONGEST = 300_000, 100
+REMEMBERED, LONGEST = 500_000, 100
+#: Symbols up to which exact merging looks at all pairs, without a heap.
+SHORT = 40
 
 
 def byte_letters() -> list[str]:
@@ -54,7 +59,7 @@ class Vocabulary:
         self.id_of: dict[str, int] = file["model"]["vocab"]
         self.specials = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.text_of = {i: t for t, i in (self.id_of | self.specials).items()}
-        self.letters = byte_letters()
+        self.letter_of = dict(enumerate(byte_letters()))
         n = max(self.id_of.values()) + 1
         self.n = n
         merges = np.array([[self.id_of[a], self.id_of[b], self.id_of[a + b]] for a, b in (m if isinstance(m, list) else m.split(" ") for m in file["model"]["merges"])])
@@ -68,8 +73,12 @@ class Vocabulary:
         self.keys, self.key_rank = key[order], order
         self.right, self.left = self._edges(split, made, 1), self._edges(split, made, 0)
         whole = [t for t, i in self.id_of.items() if self.merged(self._symbols(t)) == [i]]
-        self.usable = {t: self.id_of[t] for t in whole}
-        self.longest = max(len(t.removesuffix(WORD_END)) for t in whole)
+        self.tokens = ahocorasick.Automaton()
+        for t in whole:
+            self.tokens.add_word(t.replace(WORD_END, CLOSE), self.id_of[t])
+        # A piece whose last match leaves its end alone is merged exactly.
+        self.tokens.add_word(CLOSE, LOOSE)
+        self.tokens.make_automaton()
 
     def _edges(self, split: np.ndarray, made: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each token the tokens along one edge, from itself inwards, and the rank at which each is consumed."""
@@ -90,10 +99,29 @@ class Vocabulary:
         return [self.id_of[c] for c in chars or [token]]
 
     def symbols(self, piece: str) -> list[int]:
-        return self._symbols("".join(self.letters[b] for b in piece.encode()) + WORD_END)
+        return self._symbols(self.in_letters(piece) + WORD_END)
 
     def merged(self, ids: list[int]) -> list[int]:
         """Exact merging: the lowest rank first, at equal rank the leftmost."""
+        if len(ids) > SHORT:
+            return self._merged_by_heap(ids)
+        rank, last = self.rank.get, (NEVER, 0)
+        ids = list(ids)
+        waiting = [rank(p, last) for p in zip(ids, ids[1:])]
+        while waiting:
+            best = min(waiting)
+            if best is last:
+                break
+            i = waiting.index(best)
+            ids[i : i + 2] = [best[1]]
+            del waiting[i]
+            if i:
+                waiting[i - 1] = rank((ids[i - 1], ids[i]), last)
+            if i < len(waiting):
+                waiting[i] = rank((ids[i], ids[i + 1]), last)
+        return ids
+
+    def _merged_by_heap(self, ids: list[int]) -> list[int]:
         n, rank = len(ids), self.rank
         ids, after, before = list(ids), list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(rank[p][0], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in rank]
@@ -113,18 +141,13 @@ class Vocabulary:
                 heapq.heappush(heap, (rank[p][0], h, p))
         return [t for t in ids if t >= 0]
 
+    def in_letters(self, piece: str) -> str:
+        """The piece with a letter per byte."""
+        return piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letter_of)
+
     def greedy(self, piece: str) -> list[int]:
-        usable, out, i = self.usable, [], 0
-        text = "".join([self.letters[b] for b in piece.encode()])
-        n = len(text)
-        while i < n:
-            for j in range(min(n, i + self.longest), i, -1):
-                found = usable.get(text[i:] + WORD_END if j == n else text[i:j])
-                if found is not None:
-                    out.append(found)
-                    i = j
-                    break
-        return out
+        """Longest match, from the left; LOOSE at the end if nothing takes the end in."""
+        return [t for _, t in self.tokens.iter_long(self.in_letters(piece) + CLOSE)]
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether exact merging leaves the border between each a and b."""
@@ -151,14 +174,16 @@ class Vocabulary:
         flat = np.array([t for g in guess for t in g], np.int64)
         owner = np.repeat(np.arange(len(guess)), [len(g) for g in guess])
         inside = np.flatnonzero(owner[1:] == owner[:-1])
-        wrong = inside[~self.compatible(flat[inside], flat[inside + 1])]
+        loose = np.flatnonzero(flat == LOOSE)
+        inside = inside[flat[inside + 1] != LOOSE]
+        wrong = np.concatenate([loose, inside[~self.compatible(flat[inside], flat[inside + 1])]])
         for k in np.unique(owner[wrong]).tolist():
             guess[k] = self.merged(self.symbols(pieces[k]))
         return guess
 
     def parts(self, word: str) -> list[str | int]:
         """The pieces of a word without white space; ids where it holds control strings."""
-        if any(special in word for special in self.specials):
+        if "<" in word and any(special in word for special in self.specials):
             at, special = min((word.find(s), s) for s in self.specials if s in word)
             return [*self.parts(word[:at]), self.specials[special], *self.parts(word[at + len(special) :])]
         plain = word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ")
@@ -170,23 +195,32 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes words, remembering a bounded number of them."""
+    """Encodes words, remembering the tokens of a bounded number of pieces, and what is written of as many words."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def learn(self, found: set[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Tokens of all the words, known and new."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(found.difference(self.known))
-        cut = [self.vocabulary.parts(w.decode()) for w in new]
-        pieces = list({p for parts in cut for p in parts if isinstance(p, str)})
-        coded = dict(zip(pieces, self.vocabulary.encode_pieces(pieces)))
-        fresh = {w: tuple(t for p in parts for t in ([p] if isinstance(p, int) else coded[p])) for w, parts in zip(new, cut)}
-        self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
-        return self.known if all(len(w) <= LONGEST for w in new) else self.known | fresh
+        self.known: dict[str, list[int]] = {}
+        self.written: dict[bytes, tuple] = {}
+
+    def encode(self, found: list[bytes]) -> list[list[int]]:
+        """Tokens of each word."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        cut = [self.vocabulary.parts(w.decode()) for w in found]
+        new = list({p for parts in cut for p in parts if p not in known and isinstance(p, str)})
+        fresh = dict(zip(new, self.vocabulary.encode_pieces(new)))
+        out = []
+        for parts in cut:
+            ids: list[int] = []
+            for p in parts:
+                if isinstance(p, int):
+                    ids.append(p)
+                else:
+                    ids += known.get(p) or fresh[p]
+            out.append(ids)
+        known.update((p, ids) for p, ids in fresh.items() if len(p) <= LONGEST)
+        return out
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -206,29 +240,27 @@ def bpe_encode(docs: DataFrame, tokenizer_file: str, ids: bool = True) -> DataFr
         if key not in _ENCODERS:
             _ENCODERS[key] = Encoder(Vocabulary(shipped.value))
         encoder = _ENCODERS[key]
-        decode = encoder.vocabulary.text_of.__getitem__
-        memo: dict[bytes, tuple[int, str, str]] = {}
+        text_of = encoder.vocabulary.text_of.__getitem__
+        memo = encoder.written
         for batch, text in slices(batches):
             split = [words(t) for t in text_bytes(*buffers(text))]
-            found = {w for ws in split for w in ws}
             if len(memo) > REMEMBERED:
                 memo.clear()
-            missing = found.difference(memo)
-            tokens = encoder.learn(missing)
-            for w in missing:
-                t = tokens[w]
-                memo[w] = len(t), " ".join(map(str, t)), " ".join(map(decode, t))
-            n, coded, plain = [], [], []
+            missing = list({w for ws in split for w in ws if w not in memo})
+            for w, t in zip(missing, encoder.encode(missing)):
+                memo[w] = len(t), " ".join(map(str, t)), " ".join(map(text_of, t)), t
+            n, coded, plain, flat = [], [], [], []
             for ws in split:
                 rows = [r for r in map(memo.__getitem__, ws) if r[0]]
-                n.append(sum(r[0] for r in rows))
+                n.append(sum([r[0] for r in rows]))
                 coded.append(sha(" ".join([r[1] for r in rows])))
                 plain.append(sha(" ".join([r[2] for r in rows])))
+                if ids:
+                    flat.append([t for r in rows for t in r[3]])
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(plain, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
-                tokens = encoder.learn(found)
-                columns.append(pa.array([[t for w in ws for t in tokens[w]] for ws in split], pa.list_(pa.int32())))
+                columns.append(pa.array(flat, pa.list_(pa.int32())))
                 names.append("ids")
             for w in missing:
                 if len(w) > LONGEST:
