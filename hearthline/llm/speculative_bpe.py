@@ -21,6 +21,7 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -32,9 +33,29 @@ from pyspark.sql import functions as F
 from hearthline.llm.common import buffers, sha, slices, text_bytes, words
 
 WORD_END = "</w>"
-# The pattern of the tokenizer file and the white space of its pattern language.
-BLANK = r"\t-\r \x85\xa0  -     　"
+# The white space of the tokenizer file's pattern language.
+BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+
+
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
+
+
+@lru_cache(1)
+def newer_letters() -> set[str]:
+    """Letters and numbers that the regex module knows and Python's tables, as old as the tokenizer's, don't."""
+    unknown = "".join(c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Cn")
+    return set(regex.findall(r"[\p{L}\p{N}]", unknown))
+
+
+def cut(text: str) -> list[str]:
+    """The pieces of a text in lower case."""
+    if text.isascii() or newer_letters().isdisjoint(text):
+        return PIECES.findall(text)
+    # For the pattern they are like any sign: cut with a sign in their place.
+    found = PIECES.finditer("".join("\u2020" if c in newer_letters() else c for c in text))
+    return [text[m.start() : m.end()] for m in found]
+
+
 NEVER = np.int64(2**62)
 #: Stands for the word end in the automaton; the number of an end that no token takes in.
 CLOSE, LOOSE = "\0", -1
@@ -143,7 +164,7 @@ class Vocabulary:
 
     def in_letters(self, piece: str) -> str:
         """The piece with a letter per byte."""
-        return piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letter_of)
+        return piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letter_of)
 
     def greedy(self, piece: str) -> list[int]:
         """Longest match, from the left; LOOSE at the end if nothing takes the end in."""
@@ -187,7 +208,7 @@ class Vocabulary:
             at, special = min((word.find(s), s) for s in self.specials if s in word)
             return [*self.parts(word[:at]), self.specials[special], *self.parts(word[at + len(special) :])]
         plain = word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ")
-        return PIECES.findall(plain.lower())
+        return cut(plain.lower())
 
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder, so tokens are joined by a space."""
@@ -207,11 +228,11 @@ class Encoder:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        cut = [self.vocabulary.parts(w.decode()) for w in found]
-        new = list({p for parts in cut for p in parts if p not in known and isinstance(p, str)})
+        split = [self.vocabulary.parts(w.decode()) for w in found]
+        new = list({p for parts in split for p in parts if p not in known and isinstance(p, str)})
         fresh = dict(zip(new, self.vocabulary.encode_pieces(new)))
         out = []
-        for parts in cut:
+        for parts in split:
             ids: list[int] = []
             for p in parts:
                 if isinstance(p, int):
