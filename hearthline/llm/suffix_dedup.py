@@ -33,7 +33,7 @@ from hearthline.session import staged
 
 LENGTH, K = 200, 64
 SPAN = LENGTH - K + 1
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_500_000
 #: Anchors, and window hashes, per bucket.
 BUCKET = 1_000_000
 NONE = np.uint64(2**64 - 1)
@@ -408,7 +408,7 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     rows = found.where("h is not null").select("doc_id", "h", "n", "sha", "shard")
     anchors = found.where("keys is not null").groupBy("bucket").applyInArrow(_repeated_anchors, "shard int, keys binary, several binary")
     classes = rows.where(F.col("n") >= LENGTH).groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("shard").alias("shard"))
-    subs = classes.groupBy("shard").agg(F.ceil(F.sum("n") / (2 * shard_bytes)).cast("int").alias("subs"))
+    subs = classes.groupBy("shard").agg(F.ceil(F.sum("n") / (1.5 * shard_bytes)).cast("int").alias("subs"))
     classes = classes.join(subs, "shard").withColumn("sub", F.pmod(F.xxhash64("h"), "subs").cast("int"))
     one = classes.withColumnsRenamed({"doc_id": "id", "h": "own_h", "n": "own_n"})
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("own_h")) & (F.col("n") == F.col("own_n"))
