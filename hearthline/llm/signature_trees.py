@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -204,64 +205,61 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def _entries(docs: DataFrame, frequent: Broadcast, buckets: int) -> DataFrame:
-    """Prefix tokens with their class: arrays by bucket of the token; frequent tokens in bucket -1."""
+    """Prefix tokens with their class and its size, as arrays by bucket: of the token, or, if it is frequent
+    (`often`), of token and class, so that no bucket gets all classes of a frequent token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, tokens, owners, often, n = WordHashes(), set(), [], [], [], 0
+        hashes, seen, held, n = WordHashes(), set(), [], 0
+        names = ["bucket", "often", "tokens", "owners", "sizes"]
 
         def send() -> pa.RecordBatch:
-            token, owner = np.concatenate(tokens), np.concatenate(owners)
-            bucket = np.where(np.concatenate(often), -1, (mix64(token) % np.uint64(buckets)).astype(np.int64))
-            order = np.argsort(bucket, kind="stable")
-            first = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
-            rows = [(int(bucket[order[a]]), token[order[a:b]].tobytes(), owner[order[a:b]].tobytes()) for a, b in zip(first, [*first[1:], len(order)])]
-            for part in (tokens, owners, often):
-                part.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["bucket", "tokens", "owners"])
+            token, often, owner, size = (np.concatenate([h[i] for h in held]) for i in range(4))
+            held.clear()
+            key = np.where(often, token ^ owner.astype(np.uint64), token)
+            group = (mix64(key) % np.uint64(buckets)).astype(np.int64) * 2 + often
+            order = np.argsort(group, kind="stable")
+            first = np.flatnonzero(np.append(True, np.diff(group[order]) != 0))
+            rows = [(int(group[order[a]]), *(v[order[a:b]].tobytes() for v in (token, owner, size))) for a, b in zip(first, [*first[1:], len(order)])]
+            columns = [pa.array([r[0] // 2 for r in rows], pa.int32()), pa.array([r[0] % 2 == 1 for r in rows], pa.bool_())]
+            return pa.RecordBatch.from_arrays(columns + [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)], names)
 
         for _, column in slices(batches):
             for s in sets_of(column, hashes):
                 c = set_number(s)
                 if len(s) and c not in seen:
                     seen.add(c)
-                    t, f = prefix(s, frequent.value)
-                    tokens.append(t)
-                    often.append(f)
-                    owners.append(np.full(len(t), c, np.int64))
+                    t, often = prefix(s, frequent.value)
+                    held.append((t, often, np.full(len(t), c, np.int64), np.full(len(t), len(s), np.int32)))
                     n += len(t)
             if n > BUCKET:
                 yield send()
                 n = 0
-        if tokens:
+        if held:
             yield send()
 
-    return docs.select("text").mapInArrow(run, "bucket int, tokens binary, owners binary")
-
-
-def _arrays(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("tokens", "owners"))
+    return docs.select("text").mapInArrow(run, "bucket int, often boolean, tokens binary, owners binary, sizes binary")
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of a bucket the (token, cls) whose token has several classes."""
-    token, owner = _arrays(table)
-    order = np.lexsort((owner, token))
-    token, owner = token[order], owner[order]
-    new = np.append(True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))
-    token, owner = token[new], owner[new]
-    same = token[1:] == token[:-1]
-    several = np.append(False, same) | np.append(same, False)
-    return pa.table({"token": token[several], "cls": owner[several]})
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        token, owner = _arrays(batch)
-        yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(owner)], ["token", "cls"])
+    """Of a bucket the (token, cls, n, often) whose token has another class of a size near enough."""
+    out = []
+    for often in (False, True):
+        part = table.filter(pc.equal(table.column("often"), often))
+        token, owner, n = (np.frombuffer(b"".join(part.column(c).to_pylist()), k) for c, k in (("tokens", np.int64), ("owners", np.int64), ("sizes", np.int32)))
+        order = np.lexsort((owner, n, token))
+        token, owner, n = token[order], owner[order], n[order].astype(np.int64)
+        if len(token):
+            new = np.append(True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))
+            token, owner, n = token[new], owner[new], n[new]
+            near = (token[1:] == token[:-1]) & (5 * n[:-1] >= 4 * n[1:])
+            keep = np.append(False, near) | np.append(near, False) | often
+            out.append((token[keep], owner[keep], n[keep], np.full(int(keep.sum()), often)))
+    columns = [np.concatenate([o[i] for o in out]) for i in range(4)] if out else [np.empty(0, np.int64)] * 3 + [np.empty(0, bool)]
+    return pa.table(dict(zip(["token", "cls", "n", "often"], columns)))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, n, marks, text) of the wanted (doc_id, cls); marks: 16 bits of each token of the set."""
+    """(cls, marks, text) of the wanted (doc_id, cls); marks: 16 bits of each token of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -269,9 +267,9 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = sets_of(column, hashes)
             own = np.flatnonzero(np.array([set_number(s) for s in sets]) == batch.column("cls").to_numpy())
             marks = [(sets[i] >> np.uint64(48)).astype(np.uint16).tobytes() for i in own]
-            yield pa.RecordBatch.from_arrays([batch.column("cls").take(pa.array(own)), pa.array([len(sets[i]) for i in own], pa.int64()), pa.array(marks, pa.binary()), column.take(pa.array(own)).cast(pa.string())], ["cls", "n", "marks", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("cls").take(pa.array(own)), pa.array(marks, pa.binary()), column.take(pa.array(own)).cast(pa.string())], ["cls", "marks", "text"])
 
-    return docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(run, "cls long, n long, marks binary, text string")
+    return docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(run, "cls long, marks binary, text string")
 
 
 def _blocks() -> F.Column:
@@ -280,8 +278,7 @@ def _blocks() -> F.Column:
 
 def _first_links(shared: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of the first round."""
-    sizes = texts.select("cls", "n").dropDuplicates(["cls"])
-    home = staged(shared.groupBy("cls").agg(F.min("token").alias("token")).join(sizes, "cls"), "tree-homes")
+    home = staged(shared.groupBy("cls").agg(F.min("token").alias("token"), F.max("n").alias("n")), "tree-homes")
     groups = home.groupBy("token").agg(F.count("*").alias("count"), F.sum("n").alias("tokens"), F.min("cls").alias("pivot")).where("count > 1")
     groups = groups.select("token", "pivot", _blocks())
     own = home.join(groups, "token").select("cls", "token", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
@@ -304,9 +301,7 @@ def _links(found: list[tuple[int, int]]) -> pa.Table:
 def _further_pairs(shared: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of classes of different components that can still be links."""
     named = labels.withColumnRenamed("node", "cls")
-    rows = shared.join(named, "cls", "left").select("token", "cls", F.coalesce("label", "cls").alias("label"))
-    marks = texts.select("cls", "n", "marks").dropDuplicates(["cls"])
-    rows = rows.join(marks.select("cls", "n"), "cls")
+    rows = shared.join(named, "cls", "left").select("token", "cls", "n", F.coalesce("label", "cls").alias("label"))
     groups = rows.groupBy("token").agg(
         F.count("*").alias("count"), F.sum("n").alias("tokens"), F.min("label").alias("least"), F.max("label").alias("most"),
         F.bit_xor(F.xxhash64("cls")).alias("one"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"),
@@ -314,12 +309,14 @@ def _further_pairs(shared: DataFrame, texts: DataFrame, labels: DataFrame) -> Da
     # Tokens with the same classes need one tree.
     groups = groups.groupBy("count", "one", "two").agg(F.min("token").alias("token"), F.max("tokens").alias("tokens"))
     groups = groups.select("token", _blocks())
-    own = rows.join(groups, "token").select("token", "cls", "label", "blocks", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
+    own = rows.join(groups, "token").select("token", "cls", "n", "label", "blocks", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = own.withColumn("other", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "label")
-    members = own.join(marks, "cls").select("token", "i", "j", "cls", "label", "n", "marks")
+    own = own.withColumn("other", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "n", "label")
+    members = own.join(texts.select("cls", "marks"), "cls").select("token", "i", "j", "cls", "label", "n", "marks")
 
     def tree(table: pa.Table) -> pa.Table:
+        _, first = np.unique(table.column("cls").to_numpy(), return_index=True)
+        table = table.take(pa.array(first))
         cls, label = table.column("cls").to_numpy(), table.column("label").to_numpy()
         pairs = leaf_pairs([np.frombuffer(m, np.uint16).astype(np.uint64) for m in table.column("marks").to_pylist()], table.column("n").to_numpy())
         pairs = pairs[label[pairs[:, 0]] != label[pairs[:, 1]]]
@@ -357,10 +354,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = 1 + total // 5 // BUCKET
 
-    entries = staged(_entries(docs, spark.sparkContext.broadcast(frequent), buckets), "tree-entries")
-    rare = entries.where("bucket >= 0").groupBy("bucket").applyInArrow(_shared, "token long, cls long")
-    common = entries.where("bucket = -1").select("tokens", "owners").mapInArrow(_unpacked, "token long, cls long")
-    shared = staged(rare.unionByName(common.distinct()), "tree-shared")
+    entries = _entries(docs, spark.sparkContext.broadcast(frequent), buckets)
+    found = staged(entries.groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, often boolean"), "tree-shared")
+    # A frequent token's classes come from several tasks, copies more than once.
+    shared = found.where("not often").unionByName(found.where("often").dropDuplicates(["token", "cls"])).drop("often")
     wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     texts = staged(_texts(docs, wanted), "tree-texts")
 
