@@ -9,13 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions.attributes import coffee_attributes
+from hearthline.functions.text import is_blank
 from hearthline.operators.devices import audit_columns, of_family
 from hearthline.schemas import IDENTITY
 
 logger = logging.getLogger(__name__)
 
-MAX_IDS = 2000
-
 
 def with_attribute_list(events: DataFrame) -> DataFrame:
     """Coffee-machine events with the parsed list in `_attributes`."""
@@ -25,11 +24,11 @@ def with_attribute_list(events: DataFrame) -> DataFrame:
 def attribute_ids(events: DataFrame) -> DataFrame:
     """Distinct attribute Ids that are neither NULL nor blank."""
     ids = with_attribute_list(events).select(F.explode("_attributes.Id").alias("Id"))
-    return ids.where(F.col("Id").isNotNull() & (F.col("Id") != "")).distinct()
+    return ids.where(~is_blank(F.col("Id"))).distinct()
 
 
 def column_stem(attribute_id: str) -> str:
-    """Column name for an Id: every character that is no letter, digit or underscore becomes `_`."""
+    """Column name for an Id (the naming rule is fixed, as reports rely on it): every character that is no letter, digit or underscore becomes `_`."""
     return re.sub(r"[^\w]", "_", attribute_id)
 
 
@@ -47,16 +46,14 @@ def columns_for(ids: list[str]) -> list[tuple[str, str]]:
     return list(chosen.values())
 
 
-def discover_columns(events: DataFrame, max_ids: int = MAX_IDS) -> list[tuple[str, str]]:
+def discover_columns(events: DataFrame) -> list[tuple[str, str]]:
     """Columns for the Ids that occur in the data.
 
-    The names have to reach the driver to become a schema. More than `max_ids` of them is an error,
-    never a cut-off: such data belongs in `attribute_rows`.
+    The names, and nothing else, have to reach the driver to become a schema: they are as many as the table
+    has columns. Data whose Ids never end belongs in `attribute_rows`, or under `columns` from a table of
+    known Ids, with `new_attribute_ids` to tell what that table lacks.
     """
-    found = [r.Id for r in attribute_ids(events).limit(max_ids + 1).collect()]
-    if len(found) > max_ids:
-        raise ValueError(f"more than {max_ids} attribute Ids; use attribute_rows instead of a wide table")
-    return columns_for(found)
+    return columns_for([r.Id for r in attribute_ids(events).collect()])
 
 
 def coffee_machine_table(
@@ -72,21 +69,16 @@ def coffee_machine_table(
     if columns is None:
         columns = discover_columns(events)
 
+    # Ids to their places in the list, made once per event; every column looks its Id up there.
+    listed = with_attribute_list(events).withColumn("_ids", F.transform("_attributes", lambda a: a["Id"]))
+    if on_duplicate == "last":
+        listed = listed.withColumns({"_attributes": F.reverse("_attributes"), "_ids": F.reverse("_ids")})
+
     def entry(attribute_id: str) -> Column:
-        matches = F.filter("_attributes", lambda a: a["Id"] == F.lit(attribute_id))
-        return F.try_element_at(matches, F.lit(1 if on_duplicate == "first" else -1))
+        return F.try_element_at("_attributes", F.nullif(F.array_position("_ids", attribute_id), F.lit(0)).cast("int"))
 
-    found = with_attribute_list(events).select(
-        *IDENTITY,
-        *[entry(attribute_id).alias(f"_entry_{i}") for i, (attribute_id, _) in enumerate(columns)],
-        *audit_columns(events),
-    )
-    wide = [
-        F.col(f"_entry_{i}.{field}").alias(f"{stem}_{field}")
-        for i, (_, stem) in enumerate(columns)
-        for field in ("Value", "Unit")
-    ]
-    return found.select(*IDENTITY, *wide, *audit_columns(events))
+    wide = [entry(attribute_id)[field].alias(f"{stem}_{field}") for attribute_id, stem in columns for field in ("Value", "Unit")]
+    return listed.select(*IDENTITY, *wide, *audit_columns(events))
 
 
 def attribute_rows(events: DataFrame) -> DataFrame:

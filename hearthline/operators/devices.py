@@ -32,6 +32,11 @@ def unknown_types(events: DataFrame) -> DataFrame:
     return of_unknown_type(events).select("DeviceType").distinct()
 
 
+def unknown_type_counts(events: DataFrame) -> DataFrame:
+    """DeviceType values outside the known families, with their numbers of events."""
+    return of_unknown_type(events).groupBy("DeviceType").agg(F.count("*").alias("rows"))
+
+
 def _failure_rows(a: Column) -> Column:
     """One row per failure id; an event without ids keeps one row with NULL."""
     return F.explode_outer(integers(a["FailureIds"])).alias("FailureId")

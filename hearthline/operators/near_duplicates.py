@@ -48,6 +48,13 @@ def block_columns(match_timestamp: bool = True) -> list[str]:
     return [*DEVICE, "TimestampUTC"] if match_timestamp else list(DEVICE)
 
 
+def checked_threshold(threshold: float) -> float:
+    """A similarity of 0 would make every text of a block a copy of its first one, which nobody means."""
+    if not 0 < threshold <= 100:
+        raise ValueError(f"a similarity threshold lies above 0 and up to 100, not at {threshold}")
+    return threshold
+
+
 def _with_key(events: DataFrame, case_insensitive: bool) -> DataFrame:
     return events.withColumn("_key", token_sort_key(F.col("Status"), case_insensitive))
 
@@ -174,8 +181,9 @@ def _beaten(keys: DataFrame, is_open: Column, block: Sequence[str], threshold: f
     return found.unionByName(as_long.select(*block, F.col("_l._key").alias("_key"))).distinct()
 
 
-def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads: int = HEADS) -> DataFrame:
+def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads: int | None = None) -> DataFrame:
     """Keys with an earlier similar key in their block: block and `_key`."""
+    heads = heads or HEADS
     leading = (
         first_n_per(firsts, block, ["_first"], heads)
         .groupBy(*block)
@@ -218,6 +226,7 @@ def drop_near_duplicates(
     Exact duplicates are the special case of equal texts, so this removes them as well. With
     `match_timestamp=False` any two similar events of a device count as duplicates, whatever their times.
     """
+    checked_threshold(threshold)
     block = block_columns(match_timestamp)
     keyed = _with_key(events, case_insensitive)
     kept = first_n_per(keyed, [*block, "_key"], order, 1)
@@ -239,6 +248,7 @@ def candidate_pairs(
     One row per pair of similar keys, between their first arrivals, and one per further spelling of a
     key, paired with the first spelling. Pairs below the threshold are never formed.
     """
+    checked_threshold(threshold)
     block = block_columns(match_timestamp)
     keyed = _with_key(events, case_insensitive)
     spelled = keyed.withColumn("_text", F.col("Status"))

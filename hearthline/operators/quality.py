@@ -92,8 +92,8 @@ def quality_alerts(
         )
 
     checks = F.array(
-        check("invalid_pct", invalid_threshold, "invalid-field drop rate"),
-        check("post_dedup_pct", post_dedup_threshold, "post-dedup drop rate"),
+        check("invalid_pct", invalid_threshold, "share of rejected rows"),
+        check("post_dedup_pct", post_dedup_threshold, "share of dropped copies"),
     )
     return metrics.select(F.inline(checks))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hearthline.schemas import BRONZE, IDENTITY, MESSAGE
 
-NOT_AN_ARRAY = "expected a JSON array at the root of the file"
+NOT_AN_ARRAY = "the file holds no JSON array at its root"
 NOT_JSON_FILE = "file is not valid JSON"
 NOT_JSON_RECORD = "record is not valid JSON"
 
@@ -24,8 +24,10 @@ def _sole_element(array: Column) -> Column:
 def array_elements(text: Column) -> Column:
     """JSON texts of the elements of a root array; NULL when the text is no JSON array.
 
-    Objects with a repeated key are refused by the variant parser; such a file is cut up as plain
-    strings instead, where the last of the repeated values wins when the element is read.
+    The texts are cut out as they stand, so key order and the digits of numbers stay. The variant parser
+    only tells which elements are strings. It refuses objects with a repeated key; in such a file an element
+    that doesn't read as JSON by itself is taken for a string, and the last of the repeated values wins when
+    the element is read.
     """
     variants = F.try_variant_get(
         _sole_element(F.try_variant_get(F.try_parse_json(_wrapped(text)), "$", "array<variant>")),
@@ -33,13 +35,16 @@ def array_elements(text: Column) -> Column:
         "array<variant>",
     )
     pieces = _sole_element(F.from_json(_wrapped(text), "array<array<string>>"))
-    quoted = F.transform(
-        pieces,
-        lambda p: F.when(p.isNull(), F.lit("null"))
-        .when(p.rlike(r"^\s*[\[{]") | F.try_parse_json(p).isNotNull(), p)
-        .otherwise(F.regexp_replace(F.to_json(F.array(p)), r"(?s)^\[(.*)\]$", "$1")),
-    )
-    return F.coalesce(F.transform(variants, lambda v: F.to_json(v)), quoted)
+    strings = F.transform(variants, lambda v: F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False)))
+
+    def text_of(p: Column, string: Column) -> Column:
+        plain = p.rlike(r"^\s*[\[{]") | F.try_parse_json(p).isNotNull()
+        is_string = F.coalesce(string, ~plain)
+        quoted = F.regexp_replace(F.to_json(F.array(p)), r"(?s)^\[(.*)\]$", "$1")
+        return F.when(p.isNull(), F.lit("null")).when(is_string, quoted).otherwise(p)
+
+    unknown = F.transform(pieces, lambda p: F.lit(None).cast("boolean"))
+    return F.coalesce(F.zip_with(pieces, F.coalesce(strings, unknown), text_of), F.transform(variants, lambda v: F.to_json(v)))
 
 
 def explode_elements(files: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.operators.devices import unknown_types
+from hearthline.operators.devices import unknown_type_counts
 from hearthline.operators.ordering import clustered
 from hearthline.operators.quality import enforce, quality_alerts, quality_metrics
 from hearthline.operators.records import NOT_AN_ARRAY, NOT_JSON_FILE
@@ -23,9 +23,7 @@ from hearthline.sources.csv_files import read_csv, write_csv
 from hearthline.sources.json_files import read_messages
 from hearthline.sources.tables import append_rows, overwrite_table, read_table
 
-# The run result names at most this many unknown device types; the fallback table holds them all.
-MAX_LISTED_TYPES = 1000
-
+# The field names of the results are the interface that callers know.
 
 @dataclass(frozen=True)
 class BronzeResult:
@@ -47,7 +45,8 @@ class SilverResult:
 @dataclass(frozen=True)
 class GoldResult:
     rows_by_table: dict[str, int]
-    unknown_device_types: list[str]
+    unknown_types: int
+    unknown_types_path: str
 
 
 @dataclass(frozen=True)
@@ -66,7 +65,7 @@ def run_bronze(
     spark: SparkSession,
     input_path: str | list[str],
     output: str,
-    batch_id: int = 0,
+    batch_id: int,
     ingested_at: str | None = None,
     layout: str = "array",
     on_bad_file: str = "fail",
@@ -120,7 +119,8 @@ def read_silver_dead_letters(spark: SparkSession, output: str) -> DataFrame:
 def run_gold(spark: SparkSession, output: str, fmt: str = "parquet", skip_empty: bool = False) -> GoldResult:
     """Rebuild all gold tables from silver, as Parquet (or another table format) or CSV.
 
-    With `skip_empty` a device table without rows is not written.
+    With `skip_empty` a device table without rows is not listed; it is written all the same, so that no
+    rows of an earlier run stay. The unknown device types become a table with their numbers of events.
     """
     silver = read_silver(spark, output)
     tables = build_gold(silver)
@@ -128,23 +128,25 @@ def run_gold(spark: SparkSession, output: str, fmt: str = "parquet", skip_empty:
     rows: dict[str, int] = {}
     for name, table in tables.items():
         path = f"{output}/gold/{name}"
-        if skip_empty and name in DEVICE_TABLES and table.isEmpty():
-            continue
         if fmt == "csv":
             write_csv(table, path)
             rows[name] = read_csv(spark, path, table.schema).count()
         else:
             overwrite_table(table, path, fmt)
             rows[name] = read_table(spark, path, table.schema, fmt).count()
-    types = [r.DeviceType for r in unknown_types(silver).orderBy("DeviceType").limit(MAX_LISTED_TYPES).collect()]
-    return GoldResult(rows, types)
+        if skip_empty and name in DEVICE_TABLES and not rows[name]:
+            del rows[name]
+    path = f"{output}/gold/gold_unknown_types"
+    types = unknown_type_counts(silver)
+    overwrite_table(types, path)
+    return GoldResult(rows, read_table(spark, path, types.schema).count(), path)
 
 
 def run_layers(
     spark: SparkSession,
     input_path: str | list[str],
     output: str,
-    batch_id: int = 0,
+    batch_id: int,
     ingested_at: str | None = None,
     processed_at: str | None = None,
     layout: str = "array",

@@ -26,11 +26,9 @@ def _strings(*names: str) -> list[T.StructField]:
 
 
 MESSAGE = T.StructType(_strings(*IDENTITY, "Attributes"))
-RECORDS = T.StructType([*_strings("value", "_ingested_at", "_source_file"), T.StructField("_pos", T.LongType())])
 BRONZE = T.StructType(
     [*_strings(*IDENTITY, "Attributes", "_ingested_at", "_source_file"), T.StructField("_pos", T.LongType())]
 )
-BRONZE_DEAD_LETTER = T.StructType(_strings("_raw_error", "_ingested_at", "_source_file"))
 SILVER = T.StructType([*BRONZE.fields, *_strings("_silver_processed_at")])
 SILVER_DEAD_LETTER = T.StructType([*SILVER.fields, *_strings("_rejection_reason")])
 

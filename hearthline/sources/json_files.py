@@ -22,14 +22,15 @@ def array_records(spark: SparkSession, path: str | list[str], ingested_at: str)
     return explode_elements(_stamped(files, ingested_at, F.col("_metadata.file_path")))
 
 
-def line_position() -> Column:
-    """Number that grows with the position of a line in its file.
+def line_position(block_start: Column) -> Column:
+    """Number that is unique within a file and grows with the position of a line, at any size of splits.
 
-    Splits of one file start at least a megabyte apart; within a split the row counter of the task grows.
+    It is the byte where the line's split starts plus the row counter of the task. A line with text has two
+    bytes with its end, so a split that fills a task has fewer such lines than bytes and stays below the start
+    of the next one. Only the last split of a file is shorter and may share a task; nothing follows it.
     """
-    split = F.shiftright(F.col("_metadata.file_block_start"), 20)
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return F.shiftleft(split, 33).bitwiseOR(row_in_task)
+    return block_start + row_in_task
 
 
 def line_records(spark: SparkSession, path: str | list[str], ingested_at: str) -> DataFrame:
@@ -38,7 +39,7 @@ def line_records(spark: SparkSession, path: str | list[str], ingested_at: str) -
         "value",
         F.lit(ingested_at).alias("_ingested_at"),
         F.col("_metadata.file_path").alias("_source_file"),
-        line_position().alias("_pos"),
+        line_position(F.col("_metadata.file_block_start")).alias("_pos"),
     )
     return lines.where(F.col("value").rlike(r"\S"))
 

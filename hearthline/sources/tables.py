@@ -31,11 +31,9 @@ def append_rows(rows: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
 
 
 def write_if_any(rows: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> bool:
-    """Full refresh unless there are no rows; tells whether a table was written."""
-    if rows.isEmpty():
-        return False
+    """Full refresh; tells whether there were rows. Without any, an empty table replaces the one of before."""
     overwrite_table(rows, path, fmt)
-    return True
+    return not read_table(rows.sparkSession, path, rows.schema, fmt).isEmpty()
 
 
 def write_batch(

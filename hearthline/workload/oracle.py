@@ -177,8 +177,15 @@ ELEMENTS = f"""select {_rebuilt(PLAIN, 'file as _source_file, place as _pos')},
     when event_id % 109 = 0 then '"{{text}}"' end as bare_value
 from {NUMBERED} where _batch_id % 10 not in (4, 9)"""
 
+# The texts as written, without the blanks between values.
+ARRAY_TEXT = f"""select file as _source_file, place as _pos,
+  case when event_id % 103 = 0 then concat('', event_id) when event_id % 107 = 0 then null
+    when event_id % 109 = 0 then '"{{text}}"'
+    else replace(replace("Attributes", ': ', ':'), ', ', ',') end as "Attributes"
+from {NUMBERED} where _batch_id % 10 not in (4, 9)"""
+
 BAD_FILES = """select concat('batch-', _batch_id) as _source_file,
-  case _batch_id % 10 when 4 then 'expected a JSON array at the root of the file' else 'file is not valid JSON' end as error
+  case _batch_id % 10 when 4 then 'the file holds no JSON array at its root' else 'file is not valid JSON' end as error
 from (select distinct _batch_id from dev) where _batch_id % 10 in (4, 9)"""
 
 TIMES = """select event_id, raw, lenient, case when event_id % 10 in (0, 1) then lenient end as strict from (
@@ -247,7 +254,9 @@ union all select 'gold_coffee_machine', count(*) from silver where lower("Device
 union all select 'gold_dishwasher', count(*) from ({DISHWASHER})
 union all select 'gold_unknown_devices', count(*) from silver where not {IS_KNOWN}
 union all select 'unknown_types', count(*) from silver where not {IS_KNOWN}
-union all select 'unrouted', 0"""
+union all select 'unrouted', count(*) from (select {ID} from silver except (
+  select {ID} from ({WASHING}) union all select {ID} from ({DISHWASHER})
+  union all select {ID} from silver where lower("DeviceType") like '%coffee%' or not {IS_KNOWN}))"""
 
 RULES = f"""with recursive {SILVER}, w as ({WASHING})
 select 'canonical_time' as rule, count("TimestampUTC") as checked,
@@ -256,7 +265,7 @@ from w
 union all select 'temperature_range', count("Temperature_C"), count(*) filter (not ("Temperature_C" between 0 and 100)) from w
 union all select 'no_blank_status', count("Status"), count(*) filter (trim("Status") = '') from w
 union all select 'known_speed', count("SpinningSpeed"),
-  count(*) filter ("SpinningSpeed" not in (600, 800, 900, 1000, 1100, 1200, 1400)) from w"""
+  count(*) filter ("SpinningSpeed" not between 650 and 1350) from w"""
 
 REPLAY = """select _batch_id, batch_rows, cast(sum(batch_rows) over (order by _batch_id) as bigint) as cumulative_rows
 from (select _batch_id, count(*) as batch_rows from dev group by 1)"""
@@ -273,6 +282,8 @@ ORACLE: dict[str, str] = {
         "select 'record is not valid JSON' as error, record as raw, _ingested_at from dev where event_id % 101 = 0"
     ),
     "bronze_array_elements": _dev(ELEMENTS),
+    "bronze_array_text": _dev(ARRAY_TEXT),
+    "bronze_lines": _dev('select "DeviceId", count(*) as rows, count(*) as positions from dev group by 1'),
     "bronze_bad_files": _dev(BAD_FILES),
     "validate_split": _valid(f"select {ID}, _pos, reason as _rejection_reason from judged"),
     "dead_letter": _valid(
@@ -315,6 +326,7 @@ select {ID}, _pos from kept""",
         f"""select distinct "Id" from ({COFFEE_LONG.replace('from silver', 'from dev')}) where "Id" not in
  (select "Id" from ({COFFEE_LONG.replace('from silver', 'from dev')}) where "Unit" = 'Celsius')"""
     ),
+    "unknown_type_counts": _silver(f'select "DeviceType", count(*) as rows from silver where not {IS_KNOWN} group by 1'),
     "unknown_types": _silver(f'select distinct "DeviceType" from silver where not {IS_KNOWN}'),
     "id_prefix_split": _dev(
         """select case when "DeviceId" like 'syn\\_%' escape '\\' then 'prefixed' else 'other' end as part, "DeviceId",
@@ -324,9 +336,9 @@ select {ID}, _pos from kept""",
     "stage_counts": _silver(STAGES),
     "quality_metrics": _silver(METRICS),
     "quality_alerts": _silver(
-        _alert("invalid_pct", "1.0", "invalid-field drop rate")
+        _alert("invalid_pct", "1.0", "share of rejected rows")
         + " union all "
-        + _alert("post_dedup_pct", "20.0", "post-dedup drop rate")
+        + _alert("post_dedup_pct", "20.0", "share of dropped copies")
     ),
     "quality_rules": RULES,
     "routing_check": _silver(ROUTING),
@@ -343,4 +355,6 @@ select {ID}, _pos from kept""",
     "streaming_bronze": _dev(f'select * exclude (_source_file, temperature, first_failure, first_id, bare_value) from ({ELEMENTS})'),
     "streaming_bad_files": _dev(f"select error, count(*) as files from ({BAD_FILES}) group by 1"),
     "streaming_dedup": _valid(f"select distinct {ID} from valid"),
+    "streaming_silver": _valid(f"select distinct {ID} from valid"),
+    "streaming_dead_letter": _valid(f"select {ID}, _pos, reason as _rejection_reason from judged where reason is not null"),
 }

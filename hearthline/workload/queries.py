@@ -17,11 +17,17 @@ from hearthline.plans.bronze import read_bronze, read_bronze_dead_letters
 from hearthline.plans.gold import DEVICE_TABLES, build_gold
 from hearthline.plans.layout import compact
 from hearthline.plans.silver import build_silver
-from hearthline.schemas import IDENTITY, SILVER
+from hearthline.schemas import BRONZE, IDENTITY, SILVER
 from hearthline.session import shared_dir, staged
 from hearthline.sources import tables
 from hearthline.sources.csv_files import read_csv, write_csv
-from hearthline.streaming.dedup import silver_stream
+from hearthline.sources.json_files import read_messages
+from hearthline.streaming.dedup import (
+    read_stream_dead_letters,
+    read_stream_silver,
+    silver_stream,
+    stream_to_silver,
+)
 from hearthline.streaming.ingest import message_stream, stream_to_bronze
 from hearthline.workload.device_events import device_events, load, messages
 
@@ -110,6 +116,21 @@ def bronze_array_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good_records(_array_messages(spark, sf_dir)).select(*IDENTITY, "_source_file", "_pos", *_attribute_leaves())
 
 
+def bronze_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of array elements, character by character."""
+    return good_records(_array_messages(spark, sf_dir)).select("_source_file", "_pos", "Attributes")
+
+
+def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages stored as JSON Lines and read back: rows and distinct positions per device."""
+    path = shared_dir(spark, "lines")
+    messages(spark, sf_dir).select(F.col("message").alias("value")).write.text(path)
+    rows = good_records(read_messages(spark, path, PROCESSED_AT, layout="lines"))
+    return rows.groupBy("DeviceId").agg(
+        F.count("*").alias("rows"), F.count_distinct("_source_file", "_pos").alias("positions")
+    )
+
+
 def bronze_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead_records(_array_messages(spark, sf_dir)).select(
         "_source_file", F.get_json_object("_raw_error", "$._error").alias("error")
@@ -283,6 +304,10 @@ def attribute_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coffee.new_attribute_ids(rows, known)
 
 
+def unknown_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return devices.unknown_type_counts(_silver(spark, sf_dir))
+
+
 def unknown_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return devices.unknown_types(_silver(spark, sf_dir))
 
@@ -345,7 +370,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             "canonical_time": F.col("TimestampUTC").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"),
             "temperature_range": F.col("Temperature_C").between(0, 100),
             "no_blank_status": ~is_blank(F.col("Status")),
-            "known_speed": F.col("SpinningSpeed").isin(600, 800, 900, 1000, 1100, 1200, 1400),
+            "known_speed": F.col("SpinningSpeed").between(650, 1350),
         },
     )
 
@@ -412,7 +437,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> str:
     arrays.select("value", "_source_file").write.partitionBy("_source_file").text(files)
     output = shared_dir(spark, "bronze")
     stream = message_stream(spark, files, "2024-02-01T00:00:00Z")
-    stream_to_bronze(stream, output, shared_dir(spark, "checkpoint")).awaitTermination()
+    stream_to_bronze(stream, output, shared_dir(spark, "checkpoint"), first_batch=1_000).awaitTermination()
     return output
 
 
@@ -442,6 +467,27 @@ def streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, output).select(*IDENTITY)
 
 
+def _streamed_silver(spark: SparkSession, sf_dir: str) -> str:
+    """Silver and dead letters of a stream over the stored device events, in two arrivals."""
+    source, output, checkpoint = (shared_dir(spark, name) for name in ("events", "silver", "checkpoint"))
+    rows = device_events(spark, sf_dir)
+    for arrival in (0, 1):
+        tables.append_rows(rows.where(F.col("_batch_id") % 2 == arrival).drop("_batch_id"), source)
+        stream = spark.readStream.schema(BRONZE).parquet(source)
+        stream_to_silver(stream, output, checkpoint, PROCESSED_AT, first_batch=1_000).awaitTermination()
+    return output
+
+
+def streaming_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No watermark: whatever arrives late is kept."""
+    return read_stream_silver(spark, _streamed_silver(spark, sf_dir)).select(*IDENTITY)
+
+
+def streaming_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_stream_dead_letters(spark, _streamed_silver(spark, sf_dir))
+    return rows.select(*IDENTITY, "_pos", "_rejection_reason")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -452,6 +498,8 @@ QUERIES: dict[str, Query] = {
         bronze_records,
         bronze_dead_letter,
         bronze_array_elements,
+        bronze_array_text,
+        bronze_lines,
         bronze_bad_files,
         validate_split,
         dead_letter,
@@ -478,6 +526,7 @@ QUERIES: dict[str, Query] = {
         attribute_long,
         attribute_ids,
         attribute_drift,
+        unknown_type_counts,
         unknown_types,
         id_prefix_split,
         failure_events,
@@ -496,5 +545,7 @@ QUERIES: dict[str, Query] = {
         streaming_bronze,
         streaming_bad_files,
         streaming_dedup,
+        streaming_silver,
+        streaming_dead_letter,
     ]
 }

@@ -13,7 +13,7 @@ from hearthline.schemas import BRONZE, SILVER
 from hearthline.session import shared_dir
 from hearthline.sources import tables
 from hearthline.sources.csv_files import read_csv, write_csv
-from hearthline.streaming.dedup import silver_stream
+from hearthline.streaming.dedup import read_stream_dead_letters, read_stream_silver, silver_stream, stream_to_silver
 from hearthline.streaming.ingest import message_stream, stream_to_bronze
 from tests.conftest import as_messages
 
@@ -45,9 +45,9 @@ def test_empty_and_optional_tables(spark, bronze, tmp_path):
     tables.create_table(spark, str(tmp_path / "e"), BRONZE)
     assert tables.read_table(spark, str(tmp_path / "e"), BRONZE).count() == 0
     rows = bronze(("a", T0, WM, "End"))
-    assert not tables.write_if_any(rows.limit(0), str(tmp_path / "n"))
-    assert not (tmp_path / "n").exists()
     assert tables.write_if_any(rows, str(tmp_path / "n"))
+    assert not tables.write_if_any(rows.limit(0), str(tmp_path / "n"))
+    assert tables.read_table(spark, str(tmp_path / "n"), BRONZE).count() == 0
 
 
 def test_csv_keeps_awkward_text(spark, bronze, tmp_path):
@@ -110,14 +110,14 @@ def test_layers_end_to_end(spark, message_file, sample, tmp_path):
     out = str(tmp_path / "out")
     folder = message_file(sample)
     for _ in range(2):
-        result = run_layers(spark, folder, out)
+        result = run_layers(spark, folder, out, batch_id=0)
         assert (result.bronze.rows_written, result.bronze.dead_letter_count) == (8, 0)
         assert (result.silver.rows_in, result.silver.rows_out, result.alerts) == (8, 8, [])
         assert result.gold.rows_by_table == {
             "gold_washing_machine": 7, "gold_coffee_machine": 2, "gold_dishwasher": 1, "gold_unknown_devices": 0,
             "gold_summary": 6,
         }
-        assert result.gold.unknown_device_types == []
+        assert result.gold.unknown_types == 0
     assert spark.read.parquet(f"{out}/quality_log").count() == 4
     assert read_silver(spark, out).columns == [f.name for f in SILVER.fields]
 
@@ -126,10 +126,11 @@ def test_layers_with_rejects_duplicates_and_a_second_batch(spark, message_file,
     out = str(tmp_path / "out")
     message_file([*sample, sample[0], ("x", "nope", WM, "End", {}), ("y", T0, "Fridge", "End", {})])
     (tmp_path / "in" / "b.json").write_text("{", encoding="utf-8")
-    first = run_layers(spark, str(tmp_path / "in"), out, on_bad_file="dead_letter", gold_format="csv")
+    first = run_layers(spark, str(tmp_path / "in"), out, 0, on_bad_file="dead_letter", gold_format="csv")
     assert (first.bronze.rows_written, first.bronze.dead_letter_count) == (11, 1)
     assert (first.silver.rows_out, first.silver.dropped_invalid, first.silver.dropped_duplicate) == (9, 1, 1)
-    assert first.gold.unknown_device_types == ["Fridge"] and first.gold.rows_by_table["gold_unknown_devices"] == 1
+    types = spark.read.parquet(first.gold.unknown_types_path).collect()
+    assert [tuple(r) for r in types] == [("Fridge", 1)] and first.gold.rows_by_table["gold_unknown_devices"] == 1
     assert len(first.alerts) == 1
     assert [r.DeviceId for r in read_silver_dead_letters(spark, out).collect()] == ["x"]
     second = run_layers(spark, str(tmp_path / "in" / "a.json"), out, batch_id=1)
@@ -139,15 +140,15 @@ def test_layers_with_rejects_duplicates_and_a_second_batch(spark, message_file,
 
 
 def test_layers_on_an_empty_array(spark, message_file, tmp_path):
-    result = run_layers(spark, message_file([]), str(tmp_path / "out"))
+    result = run_layers(spark, message_file([]), str(tmp_path / "out"), 0)
     assert (result.bronze.rows_written, result.silver.rows_out) == (0, 0)
     assert set(result.gold.rows_by_table.values()) == {0}
 
 
 def test_layers_refuse_a_bad_file(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"not": "an array"}')
-    with pytest.raises(ValueError, match="expected a JSON array"):
-        run_layers(spark, str(tmp_path / "x.json"), str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="no JSON array"):
+        run_layers(spark, str(tmp_path / "x.json"), str(tmp_path / "out"), 0)
     assert not list((tmp_path / "out").rglob("*.parquet"))
 
 
@@ -155,7 +156,7 @@ def test_streaming_bronze_equals_batch(spark, message_file, sample, tmp_path):
     out, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "cp")
     folder = message_file(sample[:5], "a.json")
     (tmp_path / "in" / "bad.json").write_text("[1] x")
-    run = lambda: stream_to_bronze(message_stream(spark, folder, T0, max_files=1), out, checkpoint).awaitTermination()
+    run = lambda: stream_to_bronze(message_stream(spark, folder, T0, max_files=1), out, checkpoint, first_batch=100).awaitTermination()
     run()
     message_file(sample[5:], "b.json")
     run()
@@ -182,5 +183,43 @@ def test_streaming_silver_drops_copies(spark, bronze, tmp_path):
     assert got[0]._silver_processed_at == "now" and got[0].TimestampUTC.endswith("Z")
 
 
+def test_stream_to_silver_keeps_late_and_rejected_rows(spark, bronze, tmp_path):
+    """Three arrivals, one after another: copies of earlier events, an old event, a rejected row."""
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    late = ("d0", "2019-01-01T00:00:00", WM, "End")
+    rows = [(f"d{i}", f"2024-01-01T00:00:{i:02d}", WM, "End") for i in range(20)]
+    run = lambda: stream_to_silver(
+        spark.readStream.schema(BRONZE).parquet(path), out, str(tmp_path / "cp"), "now", first_batch=7
+    ).awaitTermination()
+    for part in (rows[:12], [*rows[8:], rows[19]], [late, ("z", "nope", WM, "End"), rows[0]]):
+        tables.append_rows(bronze(*part), path)
+        run()
+    got = read_stream_silver(spark, out).collect()
+    assert sorted(r.TimestampUTC for r in got) == sorted(r[1] + "Z" for r in [*rows, late])
+    assert sorted({r._batch_id for r in got}) == [7, 8, 9]
+    (dead,) = read_stream_dead_letters(spark, out).collect()
+    assert (dead.DeviceId, dead._rejection_reason) == ("z", "unparseable_timestamp")
+
+
+def test_lines_stream_like_a_batch(spark, tmp_path, sample):
+    (tmp_path / "in").mkdir()
+    lines = [json.dumps(m) for m in as_messages(sample)] + ["", "{"]
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    out = str(tmp_path / "bronze")
+    stream = message_stream(spark, str(tmp_path / "in"), T0, layout="lines")
+    stream_to_bronze(stream, out, str(tmp_path / "cp"), first_batch=5).awaitTermination()
+    assert sorted((r.DeviceId, r._pos) for r in read_bronze(spark, out).collect()) == sorted((s[0], i) for i, s in enumerate(sample))
+    assert read_bronze_dead_letters(spark, out).count() == 1
+
+
+def test_two_daily_loads_keep_both_days(spark, message_file, sample, tmp_path):
+    out = str(tmp_path / "out")
+    run_layers(spark, message_file(sample[:4], "a.json") + "/a.json", out, batch_id=20240501)
+    second = run_layers(spark, message_file(sample[4:], "b.json") + "/b.json", out, batch_id=20240502)
+    assert second.silver.rows_out == 8
+    with pytest.raises(TypeError):
+        run_layers(spark, message_file(sample), out)
+
+
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
