@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -11,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthline.session import staged
+
 #: Bytes of text that one numpy step works on; a longer text is a slice of its own.
 SLICE_BYTES = 2_000_000
 
@@ -28,6 +31,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table of the shared folder; then what the shuffles before it left on the disks goes.
+
+    Spark's cleaner deletes the files of a shuffle once the driver has collected what refers to it. On its own
+    that may come only after the job, and the steps of a long one would add up on the executors' disks.
+    """
+    out = staged(rows, purpose)
+    del rows
+    gc.collect()
+    out.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def words(text: bytes) -> list[bytes]:
     """Runs of bytes other than space and 0x09-0x0D."""
     return text.split()

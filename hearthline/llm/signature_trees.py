@@ -36,9 +36,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import WordHashes, buffers, mix64, slices, text_bytes, words
+from hearthline.llm.common import WordHashes, buffers, mix64, slices, text_bytes, words, written
 from hearthline.llm.components import components
-from hearthline.session import staged
 
 SHINGLE = 5
 TREE_SIZE, TREE_TOKENS = 256, 4_000_000
@@ -109,7 +108,12 @@ def bitmaps(tokens: list[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def leaf_pairs(tokens: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+def width(n: int, per_token: int, most: int = 1 << 19) -> int:
+    """Bits of a bitmap for n tokens, a power of two."""
+    return min(most, max(64, 1 << (per_token * n - 1).bit_length())) if n else 64
+
+
+def leaf_pairs(tokens: list[np.ndarray], sizes: np.ndarray, bits: int = 0) -> np.ndarray:
     """Pairs (i < j) of sets that can be similar, by dual traversal of a signature tree.
 
     tokens: numbers whose low bits place a set's tokens in its bitmap (several tokens may share a number).
@@ -117,9 +121,7 @@ def leaf_pairs(tokens: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     n = len(tokens)
     if n < 2:
         return np.empty((0, 2), np.int64)
-    bits = 64
-    while bits < 8 * int(sizes.max()) and bits < 1 << 19:
-        bits *= 2
+    bits = bits or width(int(sizes.max()), 8)
     order = np.lexsort(([int(t[0]) if len(t) else 0 for t in tokens], sizes))
     maps = bitmaps([tokens[i] for i in order], bits)
     low = high = sizes[order].astype(np.int64)
@@ -147,6 +149,28 @@ def leaf_pairs(tokens: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     return np.sort(pairs, axis=1)
 
 
+def packed_marks(tokens: np.ndarray) -> bytes:
+    """The set's bitmap at two to four bits a token."""
+    bits = width(len(tokens), 2)
+    return bitmaps([tokens], bits).tobytes()
+
+
+def marked_pairs(marks: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Pairs (i < j) of sets that can be similar, by their packed bitmaps.
+
+    Sets that are similar have bitmaps of one width or of neighbouring ones; so there is a tree for each width
+    and the next, whose bitmaps are folded, and a pair belongs to the tree of its narrower bitmap.
+    """
+    places = [np.flatnonzero(np.unpackbits(np.frombuffer(m, np.uint8), bitorder="little")).astype(np.uint64) for m in marks]
+    wide = np.array([8 * len(m) for m in marks])
+    out = []
+    for bits in np.unique(wide):
+        rows = np.flatnonzero((wide == bits) | (wide == 2 * bits))
+        pairs = rows[leaf_pairs([places[i] for i in rows], sizes[rows], int(bits))]
+        out.append(pairs[(wide[pairs] == bits).any(axis=1)])
+    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+
+
 def linked(numbers: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Links that connect the sets as all links between them would; pairs already connected aren't compared."""
     root = list(range(len(sets)))
@@ -259,14 +283,14 @@ def _shared(table: pa.Table) -> pa.Table:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, marks, text) of the wanted (doc_id, cls); marks: 16 bits of each token of the set."""
+    """(cls, marks, text) of the wanted (doc_id, cls); marks: the bitmap of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch, column in slices(batches):
             sets = sets_of(column, hashes)
             own = np.flatnonzero(np.array([set_number(s) for s in sets]) == batch.column("cls").to_numpy())
-            marks = [(sets[i] >> np.uint64(48)).astype(np.uint16).tobytes() for i in own]
+            marks = [packed_marks(sets[i]) for i in own]
             yield pa.RecordBatch.from_arrays([batch.column("cls").take(pa.array(own)), pa.array(marks, pa.binary()), column.take(pa.array(own)).cast(pa.string())], ["cls", "marks", "text"])
 
     return docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(run, "cls long, marks binary, text string")
@@ -278,7 +302,7 @@ def _blocks() -> F.Column:
 
 def _first_links(shared: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of the first round."""
-    home = staged(shared.groupBy("cls").agg(F.min("token").alias("token"), F.max("n").alias("n")), "tree-homes")
+    home = written(shared.groupBy("cls").agg(F.min("token").alias("token"), F.max("n").alias("n")), "tree-homes")
     groups = home.groupBy("token").agg(F.count("*").alias("count"), F.sum("n").alias("tokens"), F.min("cls").alias("pivot")).where("count > 1")
     groups = groups.select("token", "pivot", _blocks())
     own = home.join(groups, "token").select("cls", "token", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
@@ -318,7 +342,7 @@ def _further_pairs(shared: DataFrame, texts: DataFrame, labels: DataFrame) -> Da
         _, first = np.unique(table.column("cls").to_numpy(), return_index=True)
         table = table.take(pa.array(first))
         cls, label = table.column("cls").to_numpy(), table.column("label").to_numpy()
-        pairs = leaf_pairs([np.frombuffer(m, np.uint16).astype(np.uint64) for m in table.column("marks").to_pylist()], table.column("n").to_numpy())
+        pairs = marked_pairs(table.column("marks").to_pylist(), table.column("n").to_numpy())
         pairs = pairs[label[pairs[:, 0]] != label[pairs[:, 1]]]
         x, y = cls[pairs[:, 0]], cls[pairs[:, 1]]
         return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
@@ -346,7 +370,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    measured = staged(_measured(docs), "tree-sets")
+    measured = written(_measured(docs), "tree-sets")
     frequent = measured.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
     frequent = frequent.orderBy(F.col("times").desc(), "token").limit(MOST_FREQUENT).select("token").collect()
     frequent = np.sort(np.array([r.token for r in frequent], np.int64).astype(np.uint64))
@@ -354,16 +378,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = 1 + total // 5 // BUCKET
 
-    entries = _entries(docs, spark.sparkContext.broadcast(frequent), buckets)
-    found = staged(entries.groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, often boolean"), "tree-shared")
+    shipped = spark.sparkContext.broadcast(frequent)
+    found = written(_entries(docs, shipped, buckets).groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, often boolean"), "tree-shared")
     # A frequent token's classes come from several tasks, copies more than once.
     shared = found.where("not often").unionByName(found.where("often").dropDuplicates(["token", "cls"])).drop("often")
     wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    texts = staged(_texts(docs, wanted), "tree-texts")
+    texts = written(_texts(docs, wanted), "tree-texts")
 
-    links = staged(_first_links(shared, texts), "tree-links")
+    links = written(_first_links(shared, texts), "tree-links")
     labels = components(links)
-    more = staged(_confirmed(_further_pairs(shared, texts, labels), texts), "tree-links")
+    more = written(_confirmed(_further_pairs(shared, texts, labels), texts), "tree-links")
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = components(links)

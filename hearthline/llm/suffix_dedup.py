@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import buffers, mix64, sha, slices
-from hearthline.session import staged
+from hearthline.llm.common import buffers, mix64, sha, slices, written
 
 LENGTH, K = 200, 64
 SPAN = LENGTH - K + 1
@@ -404,7 +403,7 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), F.octet_length(text).cast("long").alias("n"))
     total = docs.agg(F.sum("n")).first()[0] or 0
     shards, buckets = 1 + total // shard_bytes, 1 + total * 2 // SPAN // BUCKET
-    found = staged(_anchored(docs.withColumn("sha", F.sha2("text", 256)), shards, buckets), "suffix-anchors")
+    found = written(_anchored(docs.withColumn("sha", F.sha2("text", 256)), shards, buckets), "suffix-anchors")
     rows = found.where("h is not null").select("doc_id", "h", "n", "sha", "shard")
     anchors = found.where("keys is not null").groupBy("bucket").applyInArrow(_repeated_anchors, "shard int, keys binary, several binary")
     classes = rows.where(F.col("n") >= LENGTH).groupBy("h", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("shard").alias("shard"))
@@ -414,7 +413,7 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("own_h")) & (F.col("n") == F.col("own_n"))
     texts = docs.join(one, same).select("h", "n", "copies", "shard", "sub", "subs", "text")
     every = anchors.join(subs, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)).alias("sub"), "keys", "several")
-    sharded = staged(texts.groupBy("shard", "sub").cogroup(every.groupBy("shard", "sub")).applyInArrow(_shard(buckets), RESULT), "suffix-shards")
+    sharded = written(texts.groupBy("shard", "sub").cogroup(every.groupBy("shard", "sub")).applyInArrow(_shard(buckets), RESULT), "suffix-shards")
     merged = sharded.where("kind = 'windows'").groupBy("bucket").applyInArrow(_merged, "shard int, sub int, data binary")
     pending = sharded.where("kind = 'open'").select("h", "n", "shard", "sub", "data", "text")
     settled = pending.groupBy("shard", "sub").cogroup(merged.groupBy("shard", "sub")).applyInArrow(_settled, RESULT)
