@@ -22,12 +22,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id (of rows with that id the one
-    with the most shingles). Documents without a word are no group and all stay."""
+    """One document of each group of near duplicates: the one with the smallest id. Rows that repeat id and text
+    are one; other texts under an id that stays, stay too. Documents without a word are no group and all stay."""
     found = near_duplicates(docs)
     first = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), F.col("n_shingles").desc())
     heads = found.where("n_shingles > 0").withColumn("place", F.row_number().over(first)).where("place = 1").select(F.col("doc_id").alias("head"))
     kept = docs.join(heads.distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("head")), "left_semi")
+    kept = kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
     wordless = docs.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     return kept.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).unionByName(wordless).select(DOCUMENT_COLUMNS)
 
