@@ -150,8 +150,8 @@ def leaf_pairs(tokens: list[np.ndarray], sizes: np.ndarray, bits: int = 0) -> np
 
 
 def packed_marks(tokens: np.ndarray) -> bytes:
-    """The set's bitmap at two to four bits a token."""
-    bits = width(len(tokens), 2)
+    """The set's bitmap at four to eight bits a token."""
+    bits = width(len(tokens), 4)
     return bitmaps([tokens], bits).tobytes()
 
 
