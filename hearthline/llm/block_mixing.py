@@ -4,8 +4,10 @@ The words of a source, document after document, are packed into blocks of `block
 slot per block that it takes. Every output shard draws how many of its slots go to which source from a
 multinomial over what the sources still have to give; slot j of a source maps to block p(j mod n) of its n
 blocks, where p is a pseudorandom permutation of the indices, another one for each epoch j div n; and the
-blocks are joined to the slots by (source, index). The last slot of a source may take only the first words
-of its block, so that the source comes to its target but for the shortness of its last block.
+blocks are joined to the slots by (source, index). Slots are counted in words: the last block of a source can be
+short, so the epochs that the target holds whole have all n slots, and the epoch after them has slots until the
+words that remain are taken. The last slot of a source may take only the first words of its block, so that the
+source comes to its target, rounded to whole words.
 
 Targets: sources in code point order, null last, weigh 3, 1, 2, 3, 1, 2, ... and share `epochs_total` times
 all words; no source gets more than `most` times its own words, and what is cut off there goes to the others
@@ -77,6 +79,32 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def place_of(value: int, n: int, key: int) -> int:
+    """The index that `permuted` maps to the value: its rounds backwards."""
+    half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+    mask = (1 << half) - 1
+    while True:
+        left, right = value >> half, value & mask
+        for r in reversed(range(4)):
+            salt = (key * 4 + r + 1) * 0x9E3779B97F4A7C15
+            left, right = right ^ (int(mix64(np.array([(left + salt) % 2**64], np.uint64))[0]) & mask), left
+        value = (left << half) | right
+        if value < n:
+            return value
+
+
+def last_epoch(take: int, size: int, block_words: int, key: int) -> tuple[int, int, int]:
+    """(slots, words, place) of the epoch after the whole ones: it takes `words` words by `slots` slots, of which
+    slot `place` has the source's last block. `key` is that of the epoch's permutation."""
+    if not size or not take % size:
+        return 0, 0, 0
+    words, blocks = take % size, -(-size // block_words)
+    place = place_of(blocks - 1, blocks, key)
+    short = blocks * block_words - size
+    slots = -(-words // block_words)
+    return (slots if slots <= place else max(place + 1, -(-(words + short) // block_words))), words, place
+
+
 def draw_counts(quotas: np.ndarray, n_shards: int, seed: int) -> np.ndarray:
     """Slots of each shard from each source [shards, sources]; the columns add up to the quotas."""
     rest, out = quotas.astype(np.int64).copy(), np.zeros((n_shards, len(quotas)), np.int64)
@@ -92,6 +120,10 @@ def draw_counts(quotas: np.ndarray, n_shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def order_key(seed: int, source: int, epoch: int) -> int:
+    return seed + 1_000_003 * source + epoch
+
+
 @dataclass
 class Mix:
     """documents: a row each with key, size and place; slots: a row for each block taken; pieces: their join."""
@@ -135,11 +167,12 @@ def plan_mix(docs: DataFrame, block_words: int = 128, n_shards: int = 64, epochs
 
     takes = [int(round(t)) for t in targets]
     blocks = [-(-s // block_words) for s in sizes]
-    quotas = np.array([-(-t // block_words) for t in takes], np.int64)
+    ends = [last_epoch(t, n, block_words, order_key(seed, s, t // n if n else 0)) for s, (t, n) in enumerate(zip(takes, sizes))]
+    quotas = np.array([t // max(1, n) * b + e[0] for t, n, b, e in zip(takes, sizes, blocks, ends)], np.int64)
     counts = draw_counts(quotas, n_shards, seed)
     firsts = np.cumsum(counts, axis=0) - counts
-    work = [(k, int(s), int(firsts[k, s]), int(counts[k, s]), blocks[s], takes[s]) for k in range(n_shards) for s in np.flatnonzero(counts[k])]
-    work = spark.createDataFrame(work, "shard int, s int, first long, n long, blocks long, takes long")
+    work = [(k, int(s), int(firsts[k, s]), int(counts[k, s]), blocks[s], sizes[s], takes[s] // sizes[s], *ends[s][1:]) for k in range(n_shards) for s in np.flatnonzero(counts[k])]
+    work = spark.createDataFrame(work, "shard int, s int, first long, n long, blocks long, size long, whole long, rest long, place long")
     step = F.lit(SLOTS_PER_ROW).cast("long")
     work = work.withColumn("skip", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, step)))
 
@@ -151,8 +184,13 @@ def plan_mix(docs: DataFrame, block_words: int = 128, n_shards: int = 64, epochs
                 epoch, block = j // r.blocks, np.empty(len(j), np.int64)
                 for e in np.unique(epoch):
                     at = epoch == e
-                    block[at] = permuted(j[at] % r.blocks, r.blocks, seed + 1_000_003 * r.s + int(e))
-                yield pd.DataFrame({"shard": r.shard, "slot": slot, "s": r.s, "block": block, "epoch": epoch, "words": np.minimum(block_words, r.takes - j * block_words)})
+                    block[at] = permuted(j[at] % r.blocks, r.blocks, order_key(seed, r.s, int(e)))
+                # Words of the slot's block, and of the last epoch's slots before it.
+                own = np.minimum(block_words, r.size - block * block_words)
+                i = j - r.whole * r.blocks
+                before = i * block_words - (r.blocks * block_words - r.size) * (i > r.place)
+                words = np.where(epoch < r.whole, own, np.minimum(own, r.rest - before))
+                yield pd.DataFrame({"shard": r.shard, "slot": slot, "s": r.s, "block": block, "epoch": epoch, "words": words})
 
     slots = work.repartition("shard", "s", "skip").mapInPandas(number, "shard int, slot long, s int, block long, epoch long, words long")
     full = placed.where("size > 0")

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from hearthline.llm.block_mixing import draw_counts, mixed_documents, permuted, plan_mix, taken_words, target_sizes
+from hearthline.llm.block_mixing import draw_counts, mixed_documents, permuted, place_of, plan_mix, taken_words, target_sizes
 
 
 def words(text):
@@ -22,6 +22,34 @@ def test_permutation(n):
     assert n < 17 or orders[0] != orders[1] != list(range(n))
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 64, 1000])
+def test_places_in_a_permutation(n):
+    order = permuted(np.arange(n), n, 20240501 + 1_000_003).tolist()
+    assert [place_of(v, n, 20240501 + 1_000_003) for v in order] == list(range(n))
+
+
+@pytest.mark.parametrize("epochs", [0.3, 1.5, 1.9])
+def test_sources_of_any_size_come_to_their_targets(spark, epochs):
+    sizes = {"a": 1, "b": 50, "c": 150, "d": 1000, "e": 127, "f": 129, "g": 385, "h": 3000}
+    rows = []
+    for s, n in sizes.items():
+        cuts = [0, n // 3, n // 2, n]
+        rows += [(f"{s}{k}", s, " ".join(f"w{i}" for i in range(a, b))) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    docs = spark.createDataFrame([(i, t, s) for i, (_, s, t) in enumerate(rows)], "doc_id long, text string, source string")
+    mix = plan_mix(docs, epochs_total=epochs)
+    names = {i: s for i, (_, s, _) in enumerate(rows)}
+    taken, target, slots = dict.fromkeys(sizes, 0), {}, dict.fromkeys(range(len(sizes)), 0)
+    for r in taken_words(mix).collect():
+        taken[names[r.doc_id]] += r.taken
+        target[names[r.doc_id]] = r.target
+        assert r.taken <= 2 * r["size"]
+    assert {s: abs(taken[s] - target[s]) <= 0.5 for s in sizes} == dict.fromkeys(sizes, True)
+    for r in mix.slots.collect():
+        assert r.words > 0
+        slots[r.s] += r.words
+    assert list(slots.values()) == list(taken.values())
+
+
 def test_counts_add_up_to_the_quotas():
     quotas = np.array([0, 5, 1000, 37])
     counts = draw_counts(quotas, 16, 3)
