@@ -3,8 +3,9 @@ r"""Personal data: patterns, and a linear-chain conditional random field over wo
 Patterns find mail addresses, IP addresses, card numbers and phone numbers; all their finds stay. The field
 adds spellings that the patterns miss (phone numbers without a plus, spelt-out mail addresses, ...). It is
 trained in a second from a small labelled table (`labelled_table`, made by a rule), and decoded by Viterbi
-over numpy batches. A chain is a stretch of tokens around a trigger (a digit, an @, or a spelt-out "at" or
-"dot"); tokens further than REACH characters from any trigger are outside by definition, so plain prose costs
+over numpy batches. A chain is a stretch of tokens around a trigger (a digit, an @, "dot", "at" in brackets or
+before a hyphen, or a plain "at" whose next word has a dot behind it); every span that `plausible` accepts holds
+a trigger. Tokens further than REACH characters from any trigger are outside by definition, so plain prose costs
 one scan. A span of the field counts if its digits or parts can be of its kind and no pattern's span meets it.
 
 Offsets are code points, ends exclusive. Patterns are matched leftmost and without overlap within a kind:
@@ -71,7 +72,9 @@ def pattern_spans(text: str) -> list[Span]:
 # --- word shapes -----------------------------------------------------------------------------------------
 
 _TOKEN = re.compile(r"[0-9]+|[^\W0-9_]+|\S")
-_TRIGGER = re.compile(r"[0-9]+|@|\bdot\b|[\[({] ?at ?[\])}]", re.I)
+_TRIGGER = re.compile(r"[0-9]+|@|\bdot\b|[\[({]\s?at\s?[\])}]|\bat-|\bat\s[\w-]++\s?\.[\w-]", re.I)
+#: In UTF-8, what every text with a trigger has: digits, @, "dot", or "at" before a space, a hyphen or a bracket.
+_MAYBE = re.compile(rb"[0-9@]|\b[dD][oO][tT]\b|\b[aA][tT][-\])}\s\x1c-\x1f\x80-\xff]")
 REACH = 60
 # Words and signs with a shape of their own.
 WORD_SHAPES = {
@@ -248,13 +251,32 @@ def decode(model: LinearChainCRF, sequences: list[list[Token]]) -> list[list[Spa
     return out
 
 
+_DOT = r"[\[({]?\s?\bdot\b\s?[\])}]?"
+#: Behind a plain "at", a dot with a space after it ends a sentence ("we met at home. Then").
+_ADDRESS = re.compile(
+    r"[\w.+-]+(?:\s?[\[({]?\s?dot\s?[\])}]?\s?[\w+-]+)*\s?"
+    rf"(?:(?:@|[\[({{]\s?at\s?[\])}}])\s?[\w-]+(?:\s?(?:\.|{_DOT})\s?[\w-]+)+|\bat\b\s?[\w-]+(?:\s?(?:\.(?!\s)|{_DOT})\s?[\w-]+)+)",
+    re.I,
+)
+_PLAIN_AT = re.compile(r"(?<![\[({])(?<![\[({]\s)\bat\b", re.I)
+_SENTENCE_END = re.compile(r"\.\s")
+
+
+def trimmed(text: str, span: Span) -> Span:
+    """The span; of an address with a plain "at" what is before the end of the sentence."""
+    start, kind, end = span
+    if kind == 0 and (at := _PLAIN_AT.search(text, start, end)) and (stop := _SENTENCE_END.search(text, at.end(), end)):
+        return start, kind, stop.start()
+    return span
+
+
 def plausible(text: str, span: Span) -> bool:
     """Whether the text of a span of the field can be of its kind."""
     start, kind, end = span
     part = text[start:end]
     digits = _DIGITS.findall(part)
     if kind == 0:
-        return bool(re.fullmatch(r"[\w.+-]+(?:\s?[\[({]?\s?dot\s?[\])}]?\s?[\w+-]+)*\s?(?:@|[\[({]\s?at\s?[\])}]|\bat\b)\s?[\w-]+(?:\s?(?:\.|[\[({]?\s?\bdot\b\s?[\])}]?)\s?[\w-]+)+", part, re.I)) and "\n" not in part
+        return bool(_ADDRESS.fullmatch(part)) and "\n" not in part
     if kind == 1:
         octets = re.findall(r"[0-9]+", part)
         return len(octets) == 4 and all(len(o) <= 3 and int(o) <= 255 for o in octets)
@@ -277,7 +299,7 @@ def find_spans(model: LinearChainCRF, texts: list[str]) -> list[tuple[list[Span]
             reach = max(reach, end)
             limits.append((start, reach))
         starts = [a for a, _ in limits]
-        for span in more:
+        for span in (trimmed(text, s) for s in more):
             i = int(np.searchsorted(starts, span[2])) - 1
             if (i < 0 or limits[i][1] <= span[0]) and plausible(text, span):
                 added.append(span)
@@ -308,12 +330,11 @@ def find_personal_data(docs: DataFrame, carry: list[str] | None = None, table: l
     model = train_pii_model(table or labelled_table())
     picked = docs.select(*dict.fromkeys([*carry, "text"]))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.select(*carry).schema)
-    maybe = re.compile(rb"[0-9@]|\b[dD][oO][tT]\b|[\[({] ?[aA][tT] ?[\])}]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, column in slices(batches):
             raw = text_bytes(*buffers(column))
-            some = [i for i, t in enumerate(raw) if maybe.search(t)]
+            some = [i for i, t in enumerate(raw) if _MAYBE.search(t)]
             texts = [raw[i].decode() for i in some]
             found = dict(zip(some, find_spans(model, texts)))
             whole = dict(zip(some, texts))

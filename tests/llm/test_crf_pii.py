@@ -1,10 +1,11 @@
 import hashlib
 import re
 
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from hearthline.llm.crf_pii import KINDS, decode, chains, find_personal_data, find_spans, labelled_table, luhn, pattern_spans, redacted, train_pii_model, written
+from hearthline.llm.crf_pii import _MAYBE, _TRIGGER, KINDS, decode, chains, find_personal_data, find_spans, labelled_table, luhn, pattern_spans, plausible, redacted, train_pii_model, written
 
 MODEL = train_pii_model(labelled_table())
 
@@ -62,6 +63,41 @@ def test_added_spans():
     assert added("x.y@mail.example.com and +1 (555) 123-4567") == []
 
 
+SPELLINGS = ["bob at example dot com", "bob [at] example [dot] com", "bob (at) example (dot) com", "bob[at]example[dot]com", "bob(at)example(dot)com", "bob at example.com", "bob@example.com"]
+PROSE = "Anyone who has lost the key of the garden house and wants another one should not wait any longer"
+
+
+def test_trained_spellings_in_prose_without_digits(spark):
+    texts = [f"{PROSE}. Please write to {mail}{end} {PROSE}." for mail in SPELLINGS for end in (" and say so.", ".")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in find_personal_data(docs, with_text=True).collect():
+        text, mail = texts[r.doc_id], SPELLINGS[r.doc_id // 2]
+        assert r.spans == f"email:{text.index(mail)}:{text.index(mail) + len(mail)}", text
+        assert r.redacted_text == text.replace(mail, "[EMAIL]")
+
+
+def test_prose_with_at_gets_nothing():
+    for text in ("We met at home. The rest had gone.", "We met at home. Then 30 went.", "He stayed at work. com", "She is good at chess; at night. Or not."):
+        assert find_spans(MODEL, [f"{PROSE}. {text} {PROSE}."]) == [([], [])]
+
+
+PART = st.sampled_from(["bob", "at", "AT", "dot", "é", "x-y", "-", ".", "[", "]", "(", ")", " ", "\t", "\u00a0", "\u2003", "com", "@", "+", "_"])
+
+
+@given(st.lists(PART, max_size=12).map("".join), st.lists(PART, max_size=4).map("".join))
+def test_what_can_be_an_address_holds_a_trigger(part, before):
+    if plausible(part, (0, 0, len(part))):
+        assert _TRIGGER.search(part)
+    if _TRIGGER.search(before + part):
+        assert _MAYBE.search((before + part).encode())
+
+
+def test_triggers_take_linear_time():
+    for text in ("at " * 200_000, "at-" * 200_000, "at\u00a0" * 200_000, "at " + "a" * 500_000, "até" * 200_000, "at" + " " * 500_000):
+        _MAYBE.search(text.encode())
+        assert len(list(_TRIGGER.finditer(text))) <= 200_000
+
+
 def test_clean_documents_get_nothing_more(spark, small):
     rows = find_personal_data(small("documents")).collect()
     assert sum(r.n_added > 0 for r in rows) <= 0.01 * len(rows)
