@@ -22,7 +22,8 @@ So no link is lost, whatever the group sizes, and a group of n near copies costs
 
 Defined cases: null and empty texts have empty sets and are linked with nothing; fewer words than five are one
 shingle; rows with the same id are separate documents; a null id is never the smallest but in a component
-without others; an empty table gives no rows; other columns are ignored. Sets are compared by 64-bit hashes.
+without others, but links its text like any other; an empty table gives no rows; other columns are ignored. Sets
+are compared by 64-bit hashes. The text of a class is fetched by a hash of id and text, which is never null.
 """
 
 from __future__ import annotations
@@ -196,24 +197,24 @@ def linked(numbers: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]
 
 
 def _measured(docs: DataFrame) -> DataFrame:
-    """A row (doc_id, n, cls) per document, and rows (token, times) of what is frequent within a task."""
+    """A row (doc_id, key, n, cls) per document, and rows (token, times) of what is frequent within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, held, n = WordHashes(), set(), [], 0
-        names = ["doc_id", "n", "cls", "token", "times"]
+        names = ["doc_id", "key", "n", "cls", "token", "times"]
 
         def frequent() -> pa.RecordBatch:
             token, times = np.unique(np.concatenate(held), return_counts=True)
             token, times = token[times >= FREQUENT].astype(np.int64), times[times >= FREQUENT]
             held.clear()
             none = pa.nulls(len(token), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, pa.array(token), pa.array(times, pa.int64())], names)
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(token), pa.array(times, pa.int64())], names)
 
         for batch, column in slices(batches):
             sets = sets_of(column, hashes)
             cls = [set_number(s) for s in sets]
             none = pa.nulls(len(sets), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()), none, none], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()), none, none], names)
             for s, c in zip(sets, cls):
                 if c not in seen:
                     seen.add(c)
@@ -225,7 +226,7 @@ def _measured(docs: DataFrame) -> DataFrame:
         if held:
             yield frequent()
 
-    return docs.mapInArrow(run, "doc_id long, n long, cls long, token long, times long")
+    return docs.mapInArrow(run, "doc_id long, key long, n long, cls long, token long, times long")
 
 
 def _entries(docs: DataFrame, frequent: Broadcast, buckets: int) -> DataFrame:
@@ -283,7 +284,8 @@ def _shared(table: pa.Table) -> pa.Table:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, marks, text) of the wanted (doc_id, cls); marks: the bitmap of the set."""
+    """(cls, marks, text, repeated) of the wanted (key, cls, repeated), a row per document with the key; marks: the
+    bitmap of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -291,9 +293,10 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = sets_of(column, hashes)
             own = np.flatnonzero(np.array([set_number(s) for s in sets]) == batch.column("cls").to_numpy())
             marks = [packed_marks(sets[i]) for i in own]
-            yield pa.RecordBatch.from_arrays([batch.column("cls").take(pa.array(own)), pa.array(marks, pa.binary()), column.take(pa.array(own)).cast(pa.string())], ["cls", "marks", "text"])
+            cls, repeated = (batch.column(c).take(pa.array(own)) for c in ("cls", "repeated"))
+            yield pa.RecordBatch.from_arrays([cls, pa.array(marks, pa.binary()), column.take(pa.array(own)).cast(pa.string()), repeated], ["cls", "marks", "text", "repeated"])
 
-    return docs.join(wanted, "doc_id").select("cls", "text").mapInArrow(run, "cls long, marks binary, text string")
+    return docs.join(wanted, "key").select("cls", "text", "repeated").mapInArrow(run, "cls long, marks binary, text string, repeated boolean")
 
 
 def _blocks() -> F.Column:
@@ -369,12 +372,12 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("text", "doc_id"))
     measured = written(_measured(docs), "tree-sets")
     frequent = measured.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
     frequent = frequent.orderBy(F.col("times").desc(), "token").limit(MOST_FREQUENT).select("token").collect()
     frequent = np.sort(np.array([r.token for r in frequent], np.int64).astype(np.uint64))
-    rows = measured.where("cls is not null").select("doc_id", "n", "cls")
+    rows = measured.where("cls is not null").select("doc_id", "key", "n", "cls")
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = 1 + total // 5 // BUCKET
 
@@ -382,8 +385,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = written(_entries(docs, shipped, buckets).groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, often boolean"), "tree-shared")
     # A frequent token's classes come from several tasks, copies more than once.
     shared = found.where("not often").unionByName(found.where("often").dropDuplicates(["token", "cls"])).drop("often")
-    wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    texts = written(_texts(docs, wanted), "tree-texts")
+    wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls", "key").agg(F.count("*").alias("times"))
+    # The key that fewest rows have; only rows that repeat text and id (or have none) share one.
+    wanted = wanted.groupBy("cls").agg(F.min(F.struct("times", "key")).alias("row")).select("cls", "row.key", (F.col("row.times") > 1).alias("repeated"))
+    fetched = written(_texts(docs, wanted), "tree-texts")
+    texts = fetched.where("not repeated").unionByName(fetched.where("repeated").dropDuplicates(["cls"])).drop("repeated")
 
     links = written(_first_links(shared, texts), "tree-links")
     labels = components(links)

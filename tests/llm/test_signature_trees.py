@@ -70,6 +70,33 @@ def test_crowded_groups_are_cut_into_several_trees(spark, monkeypatch):
     check(spark, copies(200, random.Random(9)))
 
 
+def test_classes_without_ids_are_linked(spark):
+    """Near copies whose ids are null, one of them as the bridge between two ids, and rows that repeat."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(4000)]
+
+    def text(n=100):
+        return [rng.choice(words) for _ in range(n)]
+
+    def near(base, k):
+        return [*base[:-k], *text(k)]
+
+    def row(doc_id, words):
+        return doc_id, " ".join(words)
+
+    one, bridge, nameless = text(), text(), text()
+    left, right = [*text(16), *bridge], [*bridge, *text(16)]
+    rows = [row(7, one), row(None, near(one, 3)), row(None, near(one, 4))]
+    rows += [row(20, left), row(None, bridge), row(30, right)]
+    rows += [row(None, nameless), row(None, near(nameless, 2))]
+    repeated = text()
+    rows += [row(None, repeated)] * 5 + [row(50, near(repeated, 3)), row(51, near(repeated, 2))] * 2
+    assert brute(sets_of([(20, rows[3][1]), (30, rows[5][1])])) == {20: 20, 30: 30}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = Counter((r.doc_id, r.component_id) for r in near_duplicates(docs).collect())
+    assert got == Counter({(7, 7): 1, (None, 7): 2, (20, 20): 1, (None, 20): 1, (30, 20): 1, (None, None): 2, (None, 50): 5, (50, 50): 2, (51, 50): 2})
+
+
 def test_documents(spark, small):
     check(spark, [(r.doc_id, r.text) for r in small("documents").collect()])
 
