@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.llm.block_mixing import mixed_documents
@@ -10,7 +10,7 @@ from hearthline.llm.common import DOCUMENT_COLUMNS, documents, table
 from hearthline.llm.crf_pii import find_personal_data
 from hearthline.llm.line_rules import line_rules
 from hearthline.llm.queries import WORD_BPE
-from hearthline.llm.signature_trees import near_duplicates
+from hearthline.llm.signature_trees import document_key, near_groups
 from hearthline.llm.speculative_bpe import bpe_encode
 from hearthline.session import staged
 
@@ -22,13 +22,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id. Rows that repeat id and text
-    are one; other texts under an id that stays, stay too. Documents without a word are no group and all stay."""
-    found = near_duplicates(docs)
-    first = Window.partitionBy("component_id").orderBy(F.col("doc_id").asc_nulls_last(), F.col("n_shingles").desc())
-    heads = found.where("n_shingles > 0").withColumn("place", F.row_number().over(first)).where("place = 1").select(F.col("doc_id").alias("head"))
-    kept = docs.join(heads.distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("head")), "left_semi")
-    kept = kept.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    """One document of each group of near duplicates: the one with the smallest id, a null id last. Rows that repeat
+    id and text are one. Documents without a word are no group and all stay."""
+    found = near_groups(docs).where("n_shingles > 0")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", -F.col("n_shingles"), "key"))
+    heads = found.groupBy("component").agg(first.alias("head")).select(F.col("head.key").alias("_key"))
+    kept = docs.withColumn("_key", document_key()).join(heads, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
     wordless = docs.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     return kept.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).unionByName(wordless).select(DOCUMENT_COLUMNS)
 

@@ -369,10 +369,21 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def document_key() -> F.Column:
+    """A hash of text and id; rows that repeat both have the same."""
+    return F.xxhash64("text", F.col("doc_id").cast("long"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
+    return near_groups(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, component) of every document: component is the number of its
+    component whatever the ids are, null for empty sets; key is its `document_key`."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("text", "doc_id"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", document_key())
     measured = written(_measured(docs), "tree-sets")
     frequent = measured.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
     frequent = frequent.orderBy(F.col("times").desc(), "token").limit(MOST_FREQUENT).select("token").collect()
@@ -401,7 +412,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     least = least.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     smallest = least.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = least.join(smallest, "label").select("cls", "component_id")
-    full = rows.where("n > 0").join(named, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    named = least.join(smallest, "label").select("cls", "component_id", F.col("label").alias("component"))
+    full = rows.where("n > 0").join(named, "cls").select("doc_id", "key", F.col("n").alias("n_shingles"), "component_id", "component")
+    empty = rows.where("n = 0").select("doc_id", "key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("component"))
     return full.unionByName(empty)

@@ -83,5 +83,18 @@ def test_wordless_and_unnamed_documents_in_the_copies_stage(spark, odd):
     assert ids.count(6) == 2  # the repeated row once, and another text of that id
 
 
+def test_copies_go_whatever_their_ids(spark):
+    """Null ids in several groups, and an id that is the head of one group and a copy in another."""
+
+    def text(name, end):
+        return " ".join([*(f"{name}{i}" for i in range(100)), end])
+
+    rows = [(1, text("a", "x")), (2, text("a", "y")), (2, text("b", "x")), (3, text("b", "y"))]
+    rows += [(None, text("c", "x")), (None, text("c", "y")), (None, text("d", "x")), (5, text("d", "y")), (None, text("e", "x"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text[0]) for r in corpus_pipeline.near_copies(spark, docs, SMALL).collect()]
+    assert sorted(kept, key=str) == sorted([(1, "a"), (2, "b"), (None, "c"), (5, "d"), (None, "e")], key=str)
+
+
 def test_model_is_trained_once():
     assert MODEL.emission.shape[1] == 5
