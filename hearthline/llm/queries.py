@@ -12,15 +12,19 @@ from hearthline.llm.boosted_quality import quality_scores
 from hearthline.llm.chat_grammar import conversation_digests, format_turns
 from hearthline.llm.common import documents, table
 from hearthline.llm.crf_pii import find_personal_data
+from hearthline.llm.importance_resampling import resampled
 from hearthline.llm.kneser_ney import kneser_ney_scores
 from hearthline.llm.learned_partitions import nearest
 from hearthline.llm.line_rules import line_rules
 from hearthline.llm.oracle import ORACLE  # noqa: F401  the twins of these queries
+from hearthline.llm.prefix_pieces import piece_encode
+from hearthline.llm.prefix_trie import trie, with_shared_starts
 from hearthline.llm.signature_trees import near_duplicates
 from hearthline.llm.speculative_bpe import bpe_encode
 from hearthline.llm.suffix_dedup import remove_repeats
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +71,19 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney_scores(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, each beginning with the first turns of the first one of its hundred."""
+    return trie(with_shared_starts(table(spark, sf_dir, "conversations")))
+
+
+def op12_prefix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encode(documents(spark, sf_dir), PIECE_BPE, ids=False)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_rules": op1_line_rules,
     "op2_block_mixing": op2_block_mixing,
@@ -78,4 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_grammar": op8_chat_grammar,
     "op9_learned_partitions": op9_learned_partitions,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_prefix_pieces": op12_prefix_pieces,
+    "op13_importance_resampling": op13_importance_resampling,
 }
