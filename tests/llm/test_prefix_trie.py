@@ -103,7 +103,7 @@ def many_ranges(spark):
 
 
 def test_long_conversations_lie_in_many_ranges(spark, many_ranges):
-    long = [(c, t, "user", f"{t} {c if t > at else ''}") for c, at in ((5, 700), (8, 700), (100, 300), (101, 0)) for t in range(800)]
+    long = [(c, t, "user", f"{t} {c if t > at else ''}") for c, at in ((5, 100), (8, 100), (100, 50), (101, 0)) for t in range(140)]
     rows = long + [(c, t, "user", f"{t} ") for c in (2, 6, 300) for t in range(4)]
     convs = by_turn(rows)
     assert result(plain(frame(spark, rows))) == brute(convs)
