@@ -41,7 +41,7 @@ def stream_to_bronze(messages: DataFrame, output: str, checkpoint: str, first_ba
 
     def write(rows: DataFrame, number: int) -> None:
         if BLOCK in rows.columns:
-            rows = rows.withColumn("_pos", line_position(F.col(BLOCK)))
+            rows = rows.withColumn("_pos", line_position(F.col("_source_file"), F.col(BLOCK)))
         write_bronze(rows, output, first_batch + number)
 
     return (
