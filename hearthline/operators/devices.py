@@ -11,18 +11,34 @@ from hearthline.functions.attributes import bit_flag, celsius, celsius_unit, int
 from hearthline.functions.text import is_family
 from hearthline.schemas import AUDIT, DEVICE_FAMILIES, DISHWASHER_ATTRIBUTES, IDENTITY, WASHING_ATTRIBUTES
 
+#: Partition column of routed tables, and its value for events that belong to no family.
+FAMILIES, UNKNOWN_FAMILY = "_families", "unknown"
+
 
 def audit_columns(events: DataFrame) -> list[str]:
     return [c for c in AUDIT if c in events.columns]
 
 
+def with_families(events: DataFrame) -> DataFrame:
+    """Adds the family words that DeviceType contains, joined by `+`, as a column to partition a table by."""
+    words = F.concat_ws("+", *[F.when(is_family(F.col("DeviceType"), f), F.lit(f)) for f in DEVICE_FAMILIES])
+    return events.withColumn(FAMILIES, F.when(words != "", words).otherwise(UNKNOWN_FAMILY))
+
+
 def of_family(events: DataFrame, family: str) -> DataFrame:
-    """Events whose DeviceType contains the family word; a type with two such words is in both."""
+    """Events whose DeviceType contains the family word; a type with two such words is in both.
+
+    Of a table partitioned by `with_families` only the partitions of the family are read.
+    """
+    if FAMILIES in events.columns:
+        return events.where(F.col(FAMILIES).contains(family))
     return events.where(is_family(F.col("DeviceType"), family))
 
 
 def of_unknown_type(events: DataFrame) -> DataFrame:
     """Events that belong to no known family."""
+    if FAMILIES in events.columns:
+        return events.where(F.col(FAMILIES) == UNKNOWN_FAMILY)
     known = reduce(lambda x, y: x | y, [is_family(F.col("DeviceType"), f) for f in DEVICE_FAMILIES])
     return events.where(~known)
 

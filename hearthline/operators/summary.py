@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.functions.text import is_failure
@@ -19,9 +21,10 @@ def _days(first: Column, last: Column, elapsed: bool) -> Column:
     return F.timestamp_diff("DAY", first, last).cast("int") if elapsed else F.datediff(last, first)
 
 
-def _finish(counts: DataFrame, elapsed: bool) -> DataFrame:
+def _finish(counts: DataFrame, elapsed: bool, also: Sequence[str] = ()) -> DataFrame:
     return counts.select(
         *DEVICE,
+        *also,
         "total_events",
         "failure_events",
         "first_seen_utc",
@@ -31,22 +34,58 @@ def _finish(counts: DataFrame, elapsed: bool) -> DataFrame:
     )
 
 
+def summary_partials(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Events, failures, first and last event per device and, for example, load or day.
+
+    Partials of disjoint sets of events add up: `folded_summary` makes a summary of any of them.
+    """
+    seen = events.select(*DEVICE, *by, as_event_time(F.col("TimestampUTC")).alias("_at"), is_failure(F.col("Status")).alias("_f"))
+    return seen.groupBy(*DEVICE, *by).agg(
+        F.count("*").alias("total_events"),
+        F.sum(F.when(F.col("_f"), 1).otherwise(0)).alias("failure_events"),
+        F.min("_at").alias("first_seen_utc"),
+        F.max("_at").alias("last_seen_utc"),
+    )
+
+
+def _folded(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*DEVICE).agg(
+        F.sum("total_events").alias("total_events"),
+        F.sum("failure_events").alias("failure_events"),
+        F.min("first_seen_utc").alias("first_seen_utc"),
+        F.max("last_seen_utc").alias("last_seen_utc"),
+    )
+
+
+def folded_summary(partials: DataFrame, elapsed: bool = False) -> DataFrame:
+    """Device summary from partial counts; no event is read."""
+    return _finish(_folded(partials), elapsed)
+
+
 def device_summary(events: DataFrame, elapsed: bool = False) -> DataFrame:
     """Events, failures, first and last event, failure rate and days active per device.
 
     Days are calendar days between first and last event, or whole 24-hour periods with `elapsed`.
     """
-    counts = (
-        events.select(*DEVICE, as_event_time(F.col("TimestampUTC")).alias("_at"), is_failure(F.col("Status")).alias("_f"))
-        .groupBy(*DEVICE)
-        .agg(
-            F.count("*").alias("total_events"),
-            F.sum(F.when(F.col("_f"), 1).otherwise(0)).alias("failure_events"),
-            F.min("_at").alias("first_seen_utc"),
-            F.max("_at").alias("last_seen_utc"),
-        )
+    return _finish(summary_partials(events), elapsed)
+
+
+def summary_by_batch(partials: DataFrame, batch: str, elapsed: bool = False) -> DataFrame:
+    """The device summary after every batch, from partial counts per device and batch.
+
+    A device appears from its first batch on, with one row per batch of its own; rows of other batches would
+    repeat it.
+    """
+    upto = Window.partitionBy(*DEVICE).orderBy(batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = partials.select(
+        *DEVICE,
+        batch,
+        F.sum("total_events").over(upto).alias("total_events"),
+        F.sum("failure_events").over(upto).alias("failure_events"),
+        F.min("first_seen_utc").over(upto).alias("first_seen_utc"),
+        F.max("last_seen_utc").over(upto).alias("last_seen_utc"),
     )
-    return _finish(counts, elapsed)
+    return _finish(running, elapsed, [batch])
 
 
 def device_summary_by_join(events: DataFrame) -> DataFrame:

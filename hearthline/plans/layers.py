@@ -9,8 +9,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hearthline.operators.devices import unknown_type_counts
+from hearthline.operators.devices import FAMILIES, unknown_type_counts, with_families
 from hearthline.operators.ordering import clustered
 from hearthline.operators.quality import enforce, quality_alerts, quality_metrics
 from hearthline.operators.records import NOT_AN_ARRAY, NOT_JSON_FILE
@@ -23,6 +24,8 @@ from hearthline.sources.csv_files import read_csv, write_csv
 from hearthline.sources.json_files import read_messages
 from hearthline.sources.tables import append_rows, overwrite_table, read_table
 
+ROUTED_SILVER = T.StructType([*SILVER.fields, T.StructField(FAMILIES, T.StringType())])
+
 # The field names of the results are the interface that callers know.
 
 @dataclass(frozen=True)
@@ -101,7 +104,8 @@ def run_silver(
     """
     bronze = read_bronze(spark, f"{output}/bronze").drop("_batch_id")
     silver = build_silver(bronze, processed_at or utc_now(), options)
-    overwrite_table(clustered(silver.events), f"{output}/silver")
+    routed = clustered(with_families(silver.events), by=[FAMILIES, "DeviceId", "TimestampUTC"])
+    overwrite_table(routed, f"{output}/silver", partition_by=[FAMILIES])
     overwrite_table(silver.dead_letters, f"{output}/silver_dead_letter")
     counters = quality_metrics(silver.stages_for(read_silver(spark, output))).first()
     checks = quality_alerts(spark.createDataFrame([counters]))
@@ -109,7 +113,12 @@ def run_silver(
 
 
 def read_silver(spark: SparkSession, output: str) -> DataFrame:
-    return read_table(spark, f"{output}/silver", SILVER)
+    return read_routed_silver(spark, output).drop(FAMILIES)
+
+
+def read_routed_silver(spark: SparkSession, output: str) -> DataFrame:
+    """Silver with the column that it is partitioned by: what filters on a family reads its partitions only."""
+    return read_table(spark, f"{output}/silver", ROUTED_SILVER)
 
 
 def read_silver_dead_letters(spark: SparkSession, output: str) -> DataFrame:
@@ -122,7 +131,7 @@ def run_gold(spark: SparkSession, output: str, fmt: str = "parquet", skip_empty:
     With `skip_empty` a device table without rows is not listed; it is written all the same, so that no
     rows of an earlier run stay. The unknown device types become a table with their numbers of events.
     """
-    silver = read_silver(spark, output)
+    silver = read_routed_silver(spark, output)
     tables = build_gold(silver)
     tables["gold_summary"] = ordered_summary(tables["gold_summary"])
     rows: dict[str, int] = {}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +22,21 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     overwrite_table(spark.createDataFrame([], schema), path, fmt)
 
 
-def overwrite_table(rows: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
-    """Full refresh."""
-    rows.write.format(fmt).mode("overwrite").save(path)
+def overwrite_table(rows: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()) -> None:
+    """Full refresh, partitions that no longer occur included."""
+    writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+
+
+def replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], stale: Sequence[Sequence[str]] = (), fmt: str = DEFAULT_FORMAT) -> None:
+    """Write the partitions that the rows fall into, leaving the files of all others alone.
+
+    `stale` lists values of `partition_by` of which no row is left: these partitions become empty.
+    """
+    rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    for values in stale:
+        folder = "/".join(f"{c}={v}" for c, v in zip(partition_by, values))
+        overwrite_table(rows.drop(*partition_by).limit(0), f"{path.rstrip('/')}/{folder}", fmt)
 
 
 def append_rows(rows: DataFrame, path: str, fmt: str = DEFAULT_FORMAT) -> None:
@@ -64,6 +77,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.load(path)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+    """The table, or no rows where nothing was written yet."""
+    try:
+        return read_table(spark, path, schema, fmt)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def as_of_batch(table: DataFrame, batch_id: int) -> DataFrame:
     """The table as it was after a batch; on a batch-partitioned table later folders are not read."""
     return table.where(F.col(BATCH) <= F.lit(batch_id))
