@@ -4,16 +4,16 @@ A block holds the events that agree on device, type and time (or on device and t
 dropped when any earlier row of its block has a similar Status, dropped or not. Since the score depends
 on the token-sort key of the Status alone, only the first arrival of every (block, key) matters:
 
-1. later rows with the same key go, by a first-per-key filter that thins out copies before the shuffle;
-2. blocks with a single key are settled; the steps below see the keys of the other blocks only;
+1. exact copies go, by a first-per-identity filter that thins out copies before the shuffle, and what is
+   left is written once; the steps below read narrow columns of it;
+2. blocks with a single row are settled, and of the others only the first arrival per key goes on;
 3. every key is compared with the first few keys of its block, which settles all blocks with no more
    keys than that;
 4. keys that are still open in larger blocks look for an earlier similar key through shared substrings,
    which misses none (see functions.similarity) and does not form the pairs of the block.
 
-Steps 2 to 4 work on narrow rows and run when the operator is called; their results, usually a small
-part of the data, are staged in the shared folder, and steps that have nothing to do are left out. Only
-the first step moves whole events, once.
+These steps run when the operator is called, and are left out where they have nothing to do. Whole events
+are moved by the first step alone; the others find the identities of the rows that are dropped.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.functions.similarity import (
@@ -33,8 +33,8 @@ from hearthline.functions.similarity import (
     similar_keys,
     token_sort_key,
 )
-from hearthline.operators.dedup import first_n_per
-from hearthline.schemas import ARRIVAL, SIMILARITY_THRESHOLD
+from hearthline.operators.dedup import exact_dedup, first_n_per
+from hearthline.schemas import ARRIVAL, IDENTITY, SIMILARITY_THRESHOLD
 from hearthline.session import staged
 
 DEVICE = ["DeviceId", "DeviceType"]
@@ -74,17 +74,12 @@ def _first_arrivals(rows: DataFrame, by: Sequence[str], order: Sequence[str]) ->
     return rows.groupBy(*by).agg(F.min(F.struct(*order, "TimestampUTC", "Status")).alias("_first"))
 
 
-def first_keys(keyed: DataFrame, block: Sequence[str], order: Sequence[str]) -> DataFrame | None:
-    """First arrival of each key, for blocks with at least two keys: block, `_key`, `_first`."""
-    by = [*block, "_key"]
-    if "TimestampUTC" in block:
-        # Few blocks are mixed, so the others leave before the keys are grouped.
-        mixed = staged(_mixed_blocks(keyed, block, "_key"), "mixed-blocks")
-        if mixed.isEmpty():
-            return None
-        return staged(_first_arrivals(keyed.join(mixed, list(block), "left_semi"), by, order), "first-keys")
-    # Few keys per device, so grouping thins the rows out first.
-    firsts = staged(_first_arrivals(keyed, by, order), "first-keys")
+def first_keys_per_device(keyed: DataFrame, block: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First arrival of each key, for blocks with at least two keys: block, `_key`, `_first`.
+
+    There are few keys per device, so grouping thins the rows out first.
+    """
+    firsts = staged(_first_arrivals(keyed, [*block, "_key"], order), "first-keys")
     return firsts.join(_mixed_blocks(firsts, block, "_key"), list(block), "left_semi")
 
 
@@ -214,26 +209,54 @@ def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads
     return lost.unionByName(late)
 
 
+def lost_events(exact: DataFrame, threshold: float, case_insensitive: bool, order: Sequence[str]) -> DataFrame | None:
+    """Identities of the rows with an earlier similar one at the same time; None where no block has two rows.
+
+    `exact` holds one row per identity. So a block of several rows has several texts, and a plain count finds
+    the few blocks that need a closer look.
+    """
+    block = block_columns()
+    crowded = exact.groupBy(*block).agg(F.count("*").alias("_rows")).where(F.col("_rows") > 1).select(*block)
+    narrow = _with_key(exact.select(*dict.fromkeys([*block, "Status", *order])), case_insensitive)
+    mixed = staged(narrow.join(crowded, block, "left_semi"), "mixed-blocks")
+    if mixed.isEmpty():
+        return None
+    firsts = staged(_first_arrivals(mixed, [*block, "_key"], order), "first-keys")
+    later = mixed.withColumn("_rn", F.row_number().over(Window.partitionBy(*block, "_key").orderBy(*order))).where(F.col("_rn") > 1)
+    similar = mixed.join(losing_keys(firsts, block, threshold), [*block, "_key"], "left_semi")
+    return staged(later.select(*IDENTITY).unionByName(similar.select(*IDENTITY)).distinct(), "lost-events")
+
+
+def without(rows: DataFrame, lost: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows whose key isn't among the lost ones; NULLs count as equal."""
+    renamed = lost.select(*[F.col(c).alias(f"_lost_{c}") for c in key])
+    return rows.join(renamed, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_lost_{c}")) for c in key]), "left_anti")
+
+
 def drop_near_duplicates(
     events: DataFrame,
     threshold: float = SIMILARITY_THRESHOLD,
     case_insensitive: bool = True,
     match_timestamp: bool = True,
     order: Sequence[str] = ARRIVAL,
+    is_exact: bool = False,
 ) -> DataFrame:
     """Events without an earlier similar event in their block.
 
     Exact duplicates are the special case of equal texts, so this removes them as well. With
     `match_timestamp=False` any two similar events of a device count as duplicates, whatever their times.
+    `is_exact` tells that the events are a written table of one row per identity, so that step 1 is done.
     """
     checked_threshold(threshold)
+    exact = events if is_exact else staged(exact_dedup(events, order), "exact-events")
+    if match_timestamp:
+        lost = lost_events(exact, threshold, case_insensitive, order)
+        return exact if lost is None else without(exact, lost, IDENTITY).select(*events.columns)
     block = block_columns(match_timestamp)
-    keyed = _with_key(events, case_insensitive)
+    keyed = _with_key(exact, case_insensitive)
     kept = first_n_per(keyed, [*block, "_key"], order, 1)
-    firsts = first_keys(keyed, block, order)
-    if firsts is not None:
-        kept = kept.join(losing_keys(firsts, block, threshold), [*block, "_key"], "left_anti")
-    return kept.select(*events.columns)
+    firsts = first_keys_per_device(keyed, block, order)
+    return kept.join(losing_keys(firsts, block, threshold), [*block, "_key"], "left_anti").select(*events.columns)
 
 
 def candidate_pairs(

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.functions.text import device_type_case
 from hearthline.operators.devices import of_unknown_type
 from hearthline.schemas import (
     ALERT_INVALID_PCT,
@@ -17,36 +16,52 @@ from hearthline.schemas import (
     MISSING_FIELD,
 )
 
+STAGES = ["bronze", "missing", "bad_time", "valid", "exact", "silver"]
+
 
 class QualityBreach(RuntimeError):
     """A data-quality threshold was exceeded."""
 
 
-def bronze_counts(judged: DataFrame, device_type_mode: str = "none") -> DataFrame:
-    """One row of counters from rows with a rejection reason, in one pass.
-
-    Identity keys are counted on the canonical time, so `exact_rows` is what exact deduplication keeps.
-    """
+def bronze_counts(judged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Counters of rows with a rejection reason, in one pass; of all, or per load for example."""
     reason = F.col("_rejection_reason")
-    device_type = device_type_case(F.col("DeviceType"), device_type_mode).alias("DeviceType")
-    key = F.when(reason.isNull(), F.struct("DeviceId", "_canonical_ts", device_type, "Status"))
-    return judged.agg(
+    return judged.groupBy(*by).agg(
         F.count("*").alias("bronze_rows"),
         F.count_if(reason == MISSING_FIELD).alias("missing_rows"),
         F.count_if(reason == BAD_TIMESTAMP).alias("bad_time_rows"),
         F.count_if(reason.isNull()).alias("valid_rows"),
-        F.count_distinct(key).alias("exact_rows"),
     )
 
 
-def stage_counts(judged: DataFrame, silver: DataFrame, device_type_mode: str = "none") -> DataFrame:
+def stage_counters(judged: DataFrame, exact: DataFrame, silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Wide counters of every stage; of all, or per load for example.
+
+    `exact` holds the first arrival per identity and `silver` what near duplicates leave of it. All counts
+    add up, over loads as over tasks: a row counts in the load that it came with, so the counters of a range of
+    loads are sums, and nothing is counted as distinct.
+    """
+    zero = F.lit(0).cast("long")
+
+    def alone(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(*by).agg(F.count("*").alias(name))
+
+    parts = [bronze_counts(judged, by), alone(exact, "exact_rows"), alone(silver, "silver_rows")]
+    names = [f"{s}_rows" for s in STAGES]
+    padded = [p.select(*by, *[F.col(n) if n in p.columns else zero.alias(n) for n in names]) for p in parts]
+    rows = padded[0].unionAll(padded[1]).unionAll(padded[2])
+    return rows.groupBy(*by).agg(*[F.sum(n).alias(n) for n in names])
+
+
+def long_form(counters: DataFrame) -> DataFrame:
+    """Summed wide counters as rows: stage, rows."""
+    total = counters.agg(*[F.coalesce(F.sum(f"{s}_rows"), F.lit(0).cast("long")).alias(s) for s in STAGES])
+    return total.select(F.inline(F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).alias("rows")) for s in STAGES])))
+
+
+def stage_counts(judged: DataFrame, exact: DataFrame, silver: DataFrame) -> DataFrame:
     """Rows per stage in long form: stage, rows."""
-    wide = bronze_counts(judged, device_type_mode)
-    stages = [(c.removesuffix("_rows"), c) for c in wide.columns]
-    entries = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(c).alias("rows")) for s, c in stages])
-    return wide.select(F.inline(entries)).unionByName(
-        silver.agg(F.count("*").alias("rows")).select(F.lit("silver").alias("stage"), "rows")
-    )
+    return long_form(stage_counters(judged, exact, silver))
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -59,10 +74,9 @@ def quality_metrics(stages: DataFrame) -> DataFrame:
     def rows(stage: str) -> Column:
         return F.coalesce(F.max(F.when(F.col("stage") == stage, F.col("rows"))), F.lit(0).cast("bigint"))
 
-    names = ["bronze", "missing", "bad_time", "valid", "exact", "silver"]
-    c = {n: F.col(n) for n in names}
+    c = {n: F.col(n) for n in STAGES}
     invalid = c["missing"] + c["bad_time"]
-    return stages.agg(*[rows(n).alias(n) for n in names]).select(
+    return stages.agg(*[rows(n).alias(n) for n in STAGES]).select(
         c["bronze"].alias("rows_in"),
         c["silver"].alias("rows_out"),
         invalid.alias("dropped_invalid"),

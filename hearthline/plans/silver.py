@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from hearthline.operators.dedup import exact_dedup
 from hearthline.operators.near_duplicates import drop_near_duplicates
-from hearthline.operators.quality import quality_metrics, stage_counts
+from hearthline.operators.quality import quality_metrics, stage_counters, stage_counts
 from hearthline.operators.validate import rejected_events, valid_events, with_rejection_reason
 from hearthline.schemas import ARRIVAL, BRONZE, IDENTITY, SIMILARITY_THRESHOLD
+from hearthline.session import staged
 
 
 @dataclass(frozen=True)
@@ -45,19 +46,28 @@ class Silver:
         """Accepted events before deduplication."""
         return valid_events(self._judged, self._options.device_type_mode)
 
+    @cached_property
+    def exact(self) -> DataFrame:
+        """Accepted events without exact copies, written to the shared folder: what counters and later steps read."""
+        return staged(exact_dedup(self.valid, self._options.order, IDENTITY), "exact-events")
+
     @cached_property
     def events(self) -> DataFrame:
-        """Silver events. Looking for near duplicates runs a few narrow jobs first."""
-        return deduplicated(self.valid, self._options).select(*self._columns, self._stamp)
+        """Silver events. Writing the exact ones and looking for near duplicates runs jobs first."""
+        return without_near_duplicates(self.exact, self._options).select(*self._columns, self._stamp)
 
     @cached_property
     def dead_letters(self) -> DataFrame:
         """Rejected rows with the reason."""
         return rejected_events(self._judged).select(*self._columns, self._stamp, "_rejection_reason")
 
+    def counters(self, by: Sequence[str] = ()) -> DataFrame:
+        """Wide counters of the stages, of all or per load, as sums that can be added up."""
+        return stage_counters(self._judged, self.exact, self.events, by)
+
     def stages_for(self, events: DataFrame) -> DataFrame:
         """Rows per stage, with the silver events given, for example as read back from their table."""
-        return stage_counts(self._judged, events, self._options.device_type_mode)
+        return stage_counts(self._judged, self.exact, events)
 
     @property
     def stages(self) -> DataFrame:
@@ -68,18 +78,20 @@ class Silver:
         return quality_metrics(self.stages)
 
 
-def deduplicated(valid: DataFrame, options: SilverOptions) -> DataFrame:
-    """Valid events without duplicates.
-
-    Dropping near duplicates drops exact ones with them, so the events are shuffled once either way.
-    """
+def without_near_duplicates(exact: DataFrame, options: SilverOptions) -> DataFrame:
+    """What near duplicates leave of a written table of one event per identity."""
     if not options.near_duplicates:
-        return exact_dedup(valid, options.order, IDENTITY)
+        return exact
     return drop_near_duplicates(
-        valid, options.threshold, options.case_insensitive, options.match_timestamp, options.order
+        exact, options.threshold, options.case_insensitive, options.match_timestamp, options.order, is_exact=True
     )
 
 
+def deduplicated(valid: DataFrame, options: SilverOptions) -> DataFrame:
+    """Valid events without duplicates; whole events are shuffled once."""
+    return without_near_duplicates(staged(exact_dedup(valid, options.order, IDENTITY), "exact-events"), options)
+
+
 def build_silver(bronze: DataFrame, processed_at: str, options: SilverOptions = SilverOptions()) -> Silver:
     """Silver events, dead letters and row counts per stage of a bronze table."""
     return Silver(bronze, processed_at, options)
