@@ -10,8 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from hearthline.functions.timestamps import as_event_time
 from hearthline.operators.dedup import exact_dedup
 from hearthline.operators.validate import rejected_events, valid_events, with_rejection_reason
-from hearthline.schemas import IDENTITY, SILVER, SILVER_DEAD_LETTER
-from hearthline.sources.tables import BATCH, read_table, write_batch
+from hearthline.plans.incremental import load_silver
+from hearthline.plans.silver import SilverOptions
+from hearthline.schemas import BRONZE, IDENTITY, SILVER, SILVER_DEAD_LETTER
+from hearthline.sources.tables import BATCH, read_if_there, read_table, write_batch
 
 
 def silver_stream(bronze: DataFrame, processed_at: str, delay: str = "1 day", lenient: bool = True) -> DataFrame:
@@ -37,8 +39,9 @@ def stream_to_silver(
 ) -> StreamingQuery:
     """Write what has arrived as batches of silver and of its dead letters, then stop; nothing is lost.
 
-    An event counts as new if no earlier batch holds its identity key, however late it arrives, and rejected
-    rows become dead letters. Near duplicates are left to the batch layer. A batch that is written again
+    An event counts as new if no earlier batch of the table holds its identity key, those of other loads
+    included, however late it arrives, and rejected rows become dead letters. Near duplicates are left to
+    `stream_loads`. A batch that is written again
     compares itself with the batches before it only, and so comes out the same.
     """
 
@@ -49,9 +52,8 @@ def stream_to_silver(
         columns = [f.name for f in SILVER.fields if f.name in rows.columns]
         write_batch(rejected_events(judged).select(*columns, stamp, "_rejection_reason"), f"{output}/silver_dead_letter", batch)
         fresh = exact_dedup(valid_events(judged)).select(*columns, stamp)
-        if number:
-            before = read_stream_silver(rows.sparkSession, output).where(F.col(BATCH).between(first_batch, batch - 1))
-            fresh = fresh.join(before.select(*IDENTITY), IDENTITY, "left_anti").select(*fresh.columns)
+        before = read_if_there(rows.sparkSession, f"{output}/silver", STREAM_SILVER).where(F.col(BATCH) < batch)
+        fresh = fresh.join(before.select(*IDENTITY), IDENTITY, "left_anti").select(*fresh.columns)
         write_batch(fresh, f"{output}/silver", batch)
 
     return (
@@ -62,8 +64,27 @@ def stream_to_silver(
     )
 
 
+def stream_loads(
+    bronze: DataFrame, output: str, checkpoint: str, processed_at: str, first_batch: int, options: SilverOptions = SilverOptions()
+) -> StreamingQuery:
+    """Take in what has arrived as loads of `plans.incremental`, then stop; near duplicates are dropped as well.
+
+    What a stream has to remember are the accepted events, a table by load and day: a micro-batch reads and
+    rewrites the days that it touches. So nothing expires, late rows find their duplicates, and the result is
+    that of one run over everything. A micro-batch that is written again replaces itself.
+    """
+
+    def write(rows: DataFrame, number: int) -> None:
+        load_silver(rows.sparkSession, rows.select(*BRONZE.names), output, first_batch + number, processed_at, options)
+
+    return bronze.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+STREAM_SILVER = T.StructType([*SILVER.fields, T.StructField(BATCH, T.LongType())])
+
+
 def read_stream_silver(spark: SparkSession, output: str) -> DataFrame:
-    return read_table(spark, f"{output}/silver", T.StructType([*SILVER.fields, T.StructField(BATCH, T.LongType())]))
+    return read_table(spark, f"{output}/silver", STREAM_SILVER)
 
 
 def read_stream_dead_letters(spark: SparkSession, output: str) -> DataFrame:

@@ -270,6 +270,102 @@ union all select 'known_speed', count("SpinningSpeed"),
 REPLAY = """select _batch_id, batch_rows, cast(sum(batch_rows) over (order by _batch_id) as bigint) as cumulative_rows
 from (select _batch_id, count(*) as batch_rows from dev group by 1)"""
 
+#: Part names as statuses of three devices: every row against every earlier one of its device.
+CROWDED = f"""with recursive named as (
+  select concat('dev_', p_partkey % 3) as "DeviceId", p_partkey as _pos,
+    concat(case when p_type = 'PROMO' and p_size % 2 = 0 then lower(p_type) else p_type end, ' ', p_brand) as "Status" from part),
+keyed as (
+  select *, true as fold, {_key('"Status"')} as k from named union all select *, false, {_key('"Status"', False)} from named),
+{_lcs('select x.k as a, y.k as b from (select distinct k, fold from keyed) x join (select distinct k, fold from keyed) y on x.fold = y.fold', 'score')},
+firsts as (select "DeviceId", fold, k, min(_pos) as first_pos from keyed group by all),
+best as (
+  select r._pos, r.fold, max(s.score) as score from keyed r join firsts e on e."DeviceId" = r."DeviceId" and e.fold = r.fold
+  join score s on s.a = e.k and s.b = r.k where e.first_pos < r._pos group by 1, 2)
+select cast(t.threshold as integer) as threshold, r.fold, r."DeviceId", r."Status", r._pos
+from keyed r left join best b on b._pos = r._pos and b.fold = r.fold, (values (60), (90), (97)) as t(threshold)
+where coalesce(b.score, 0) < t.threshold"""
+
+#: By place modulo 6: cut off, a list, a number, nothing, values that are no numbers, as it was.
+MALFORMED = f"""with {VALID},
+shaped as (
+  select *, case when _pos % 6 = 4 then '{{"Temperature": "warm", "SpinningSpeed": "900.0", "TwinDos": [5], "FailureIds": [1, "x", null]}}'
+    when _pos % 6 = 5 then "Attributes" end as a from valid where lower("DeviceType") like '%washing%')
+select {ID}, {_celsius(False).replace('"Attributes"', 'a')} as "Temperature_C",
+  cast(trunc(try_cast(a->>'$.SpinningSpeed' as double)) as integer) as "SpinningSpeed",
+  try_cast(a->>'$.TwinDos[0]' as integer) as "TwinDos_Colour", try_cast(a->>'$.TwinDos[1]' as integer) as "TwinDos_White", {FAILURE_ID}
+from shaped {FAILURES.replace('"Attributes"', 'a')}"""
+
+
+def _clash(counts: str) -> str:
+    """Of the repeated Temperature the first or the last entry; `Cup Size` comes before `Cup-Size`."""
+    entry = "list_filter(json_extract(\"Attributes\", '$[*]'), lambda e: trim(e->>'$.Id') = '{}')[1]"
+    grinding = entry.format("Grinding")
+    temperature = f"try_cast({entry.format('Temperature')}->>'$.Value' as double)" if counts == "first" else "1.0::double"
+    unit = f"{entry.format('Temperature')}->>'$.Unit'" if counts == "first" else "'K'"
+    return f"""select {ID}, cast(_pos % 5 as double) as "Cup_Size_Value", 'cl' as "Cup_Size_Unit",
+  try_cast({grinding}->>'$.Value' as double) as "Grinding_Value", {grinding}->>'$.Unit' as "Grinding_Unit",
+  {temperature} as "Temperature_Value", {unit} as "Temperature_Unit", '{counts}' as counts
+from valid where lower("DeviceType") like '%coffee%'"""
+
+
+BY_BATCH = """select _batch_id, count(*) as bronze_rows, count(*) filter (reason = 'missing_required_field') as missing_rows,
+  count(*) filter (reason = 'unparseable_timestamp') as bad_time_rows, count(*) filter (reason is null) as valid_rows,
+  count(*) filter (_pos in (select _pos from exact)) as exact_rows, count(*) filter (_pos in (select _pos from silver)) as silver_rows
+from judged group by 1"""
+
+#: The summary of the silver events up to each batch in which the device has events.
+SUMMARY_BY_BATCH = f"""select * from (select distinct "DeviceId" as d, "DeviceType" as t, _batch_id from silver) b,
+lateral ({SUMMARY.replace('from silver', 'from silver s where s."DeviceId" = b.d and s."DeviceType" = b.t and s._batch_id <= b._batch_id')})"""
+
+LIFECYCLE = """select 'created' as step, 0 as rows union all select 'filled True', count(*) from silver union all select 'refreshed False', 0
+union all select 'empty silver', 0 union all select 'empty gold_washing_machine', 0 union all select 'empty gold_coffee_machine', 0
+union all select 'empty gold_dishwasher', 0 union all select 'empty gold_unknown_devices', 0 union all select 'empty gold_summary', 0"""
+
+PREVIEWS = """with batches as (
+  select _batch_id from (select _batch_id, row_number() over (order by _batch_id) - 1 as i from (select distinct _batch_id from dev)) where i % 3 = 0),
+counted as (
+  select b._batch_id, count(*) filter ("DeviceId" like 'syn\\_%' escape '\\') as p, count(*) as n
+  from batches b join dev d on d._batch_id <= b._batch_id group by 1)
+select _batch_id, 'plain' as preview, least(500, n - p) as rows, 0 as prefixed_rows from counted
+union all select _batch_id, 'prefixed', least(500, p), least(500, p) from counted"""
+
+END_TO_END = f"""select 'bronze' as "table", count(*) as rows from dev
+union all select "table", rows from ({ROUTING}) where "table" not in ('unrouted', 'unknown_types')
+union all select 'gold_summary', count(*) from ({SUMMARY})
+union all select 'unknown_types', count(distinct "DeviceType") from silver where not {IS_KNOWN}
+union all select 'alerts', cast(invalid_pct > 5 as integer) + cast(post_dedup_pct > 20 as integer) from ({METRICS})"""
+
+REGISTERED = """with failing as (select distinct "DeviceId", "DeviceType" from silver where lower("Status") like '%failure%')
+select s."DeviceType", count(*) as rows, count(f."DeviceId") as rows_of_failing
+from silver s left join failing f on f."DeviceId" = s."DeviceId" and f."DeviceType" = s."DeviceType" group by 1"""
+
+LOG = f"""select * exclude (message), '2024-02-02T00:00:00Z' as _run_at from ({_alert("invalid_pct", "1.0", "x")} union all {_alert("post_dedup_pct", "20.0", "x")})
+union all select * exclude (message), '2024-02-03T00:00:00Z' from ({_alert("invalid_pct", "99.0", "x")} union all {_alert("post_dedup_pct", "20.0", "x")})
+union all select 'stopped', null, null, invalid_pct > 1.0, '2024-02-02T00:00:00Z' from ({METRICS})
+union all select 'stopped', null, null, invalid_pct > 99.0, '2024-02-03T00:00:00Z' from ({METRICS})"""
+
+#: Rows that the two filters find; the files are free, but for their number.
+ZORDER = """select 'device' as filter, count(*) as rows, true as skips from silver where "DeviceId" = (select min("DeviceId") from silver)
+union all select 'time', count(*), true from silver where "TimestampUTC" < '2024-01-03'
+union all select 'both', count(*), true from silver where "DeviceId" = (select min("DeviceId") from silver) and "TimestampUTC" < '2024-01-03'"""
+
+#: The keys that events of either part have, and what is to be found under them; the later events' units are objects.
+DRIFT = f"""with {DEV},
+keys as (select distinct * from (
+  select case when "DeviceType" = 'Dishwasher' then 'dishwasher' else 'washing' end as family, event_id % 5 = 0 as known,
+    unnest(json_keys("Attributes")) as key
+  from dev where "DeviceType" in ('Washing machine', 'Dishwasher') and "Attributes" not like '%FailureIds%')),
+shapes(key, path, known_type, found_type) as (values
+  ('Temperature', '$.Temperature', 'BIGINT', 'BIGINT'), ('Temperature_Unit', '$.Temperature_Unit', 'STRING', 'OBJECT'),
+  ('Temperature_Unit', '$.Temperature_Unit.name', null, 'STRING'), ('Temperature_Unit', '$.Temperature_Unit.scale', null, 'ARRAY'),
+  ('Temperature_Unit', '$.Temperature_Unit.scale[*]', null, 'BIGINT'), ('SpinningSpeed', '$.SpinningSpeed', 'BIGINT', 'BIGINT'),
+  ('SpinningSpeed_Unit', '$.SpinningSpeed_Unit', 'STRING', 'STRING'), ('TwinDos', '$.TwinDos', 'ARRAY', 'ARRAY'),
+  ('TwinDos', '$.TwinDos[*]', 'BIGINT', 'BIGINT'), ('TwinDos_Unit', '$.TwinDos_Unit', 'STRING', 'STRING'),
+  ('QuickPowerWashActive', '$.QuickPowerWashActive', 'BIGINT', 'BIGINT'))
+select f.family, s.path, case when k.key is not null then s.known_type end as old_type, s.found_type as new_type
+from keys f join shapes s on s.key = f.key left join keys k on k.known and k.family = f.family and k.key = f.key
+where not f.known and coalesce(case when k.key is not null then s.known_type end, '') <> s.found_type"""
+
 BRONZE_COLUMNS = f'{ID}, "Attributes", _ingested_at, _source_file, _pos'
 
 ORACLE: dict[str, str] = {
@@ -357,4 +453,26 @@ select {ID}, _pos from kept""",
     "streaming_dedup": _valid(f"select distinct {ID} from valid"),
     "streaming_silver": _valid(f"select distinct {ID} from valid"),
     "streaming_dead_letter": _valid(f"select {ID}, _pos, reason as _rejection_reason from judged where reason is not null"),
+    "bronze_split_array": _dev(ARRAY_TEXT),
+    "incremental_silver": _silver(f"select {BRONZE_COLUMNS}, '{AT}' as _silver_processed_at from silver"),
+    "incremental_summary": _silver(SUMMARY),
+    "fuzzy_dedup_crowded": CROWDED,
+    "gold_malformed": MALFORMED,
+    "coffee_name_clashes": f"""with {VALID.replace('valid as (select * replace (canon as "TimestampUTC") from',
+        "valid as (select * replace (canon as \"TimestampUTC\", concat(substr(\"Attributes\", 1, length(\"Attributes\") - 1), "
+        "', {\"Id\": \"Status\", \"Value\": 1, \"Unit\": \"x\"}, {\"Id\": \"Cup Size\", \"Value\": ', _pos % 5, "
+        "', \"Unit\": \"cl\"}, {\"Id\": \"Temperature\", \"Value\": 1, \"Unit\": \"K\"}]') as \"Attributes\") from")}
+{_clash('first')} union all {_clash('last')}""",
+    "summary_by_batch": _silver(SUMMARY_BY_BATCH).replace("select * from (select distinct", "select * exclude (d, t) from (select distinct"),
+    "quality_by_batch": _silver(BY_BATCH),
+    "quality_log": _silver(LOG),
+    "routed_gold": _silver(ROUTING),
+    "csv_line_breaks": _valid(f"""select {ID}, replace("Attributes", ', ', concat(',', chr(10), '"')) as "Attributes", cast(_pos as varchar) as _pos from valid"""),
+    "table_lifecycle": _silver(LIFECYCLE),
+    "replay_previews": f"with {DEV}, {PREVIEWS.removeprefix('with ')}",
+    "layers_end_to_end": _silver(END_TO_END),
+    "registered_table": f"with recursive {SILVER}, {REGISTERED.removeprefix('with ')}",
+    "streaming_near_duplicates": _silver(f"select {BRONZE_COLUMNS}, '{AT}' as _silver_processed_at from silver"),
+    "zorder_skipping": _silver(ZORDER),
+    "attribute_drift_all": DRIFT,
 }

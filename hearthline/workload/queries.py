@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthline.functions.similarity import token_sort_ratio
 from hearthline.functions.text import is_blank, is_failure
 from hearthline.functions.timestamps import canonical_utc
-from hearthline.operators import coffee, dedup, devices, near_duplicates, ordering, quality, summary
+from hearthline.operators import coffee, dedup, devices, drift, near_duplicates, ordering, quality, summary
 from hearthline.operators.records import dead_records, explode_elements, good_records, parse_records
 from hearthline.operators.validate import rejected_events, valid_events, with_rejection_reason
 from hearthline.plans.bronze import read_bronze, read_bronze_dead_letters
 from hearthline.plans.gold import DEVICE_TABLES, build_gold
-from hearthline.plans.layout import compact
+from hearthline.plans.incremental import load_gold, load_silver, read_days, read_summary
+from hearthline.plans.layers import ROUTED_SILVER, run_layers
+from hearthline.plans.layout import compact, compact_z, read_skipping, register, register_failure_view
 from hearthline.plans.silver import build_silver
 from hearthline.schemas import BRONZE, IDENTITY, SILVER
 from hearthline.session import shared_dir, staged
@@ -26,6 +30,7 @@ from hearthline.streaming.dedup import (
     read_stream_dead_letters,
     read_stream_silver,
     silver_stream,
+    stream_loads,
     stream_to_silver,
 )
 from hearthline.streaming.ingest import message_stream, stream_to_bronze
@@ -121,6 +126,17 @@ def bronze_array_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good_records(_array_messages(spark, sf_dir)).select("_source_file", "_pos", "Attributes")
 
 
+def bronze_split_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same text from files that many tasks read in ranges; the byte positions put the elements in order."""
+    path = shared_dir(spark, "arrays")
+    files = _array_files(spark, sf_dir).select("value", F.col("_source_file").alias("file"))
+    files.write.partitionBy("file").text(path)
+    rows = good_records(read_messages(spark, path, PROCESSED_AT, on_bad_file="dead_letter", range_bytes=1 << 16))
+    name = F.regexp_extract("_source_file", "file=([^/]+)/", 1)
+    place = F.row_number().over(Window.partitionBy("_source_file").orderBy("_pos")) - 1
+    return rows.select(name.alias("_source_file"), place.cast("long").alias("_pos"), "Attributes")
+
+
 def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages stored as JSON Lines and read back: rows and distinct positions per device."""
     path = shared_dir(spark, "lines")
@@ -267,6 +283,42 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.upsert(dedup.exact_dedup(table), updates).select(*IDENTITY, "_ingested_at", "_pos")
 
 
+def _loads(spark: SparkSession, sf_dir: str, gold: bool = False) -> str:
+    """Device events in three loads, none of them in the order of arrival, and the first load once more."""
+    output, rows = shared_dir(spark, "loads"), device_events(spark, sf_dir)
+    for load in (2, 0, 1, 2):
+        days = load_silver(spark, rows.where(F.col("_batch_id") % 3 == load).drop("_batch_id"), output, load, PROCESSED_AT)
+        if gold:
+            load_gold(spark, output, days)
+    return output
+
+
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_days(spark, _loads(spark, sf_dir)).select(*SILVER.names)
+
+
+def incremental_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_summary(spark, _loads(spark, sf_dir, gold=True))
+
+
+def fuzzy_dedup_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of very many keys: part names as statuses of three devices, in both letter modes."""
+    kind = F.when((F.col("p_type") == "PROMO") & (F.col("p_size") % 2 == 0), F.lower("p_type")).otherwise(F.col("p_type"))
+    rows = load(spark, sf_dir, "part").select(
+        F.concat(F.lit("dev_"), F.col("p_partkey") % 3).alias("DeviceId"),
+        F.lit("2024-01-01T00:00:00Z").alias("TimestampUTC"),
+        F.lit("Part").alias("DeviceType"),
+        F.concat_ws(" ", kind, "p_brand").alias("Status"),
+        F.col("p_partkey").alias("_pos"),
+    )
+    parts = []
+    for threshold in (60, 90, 97):
+        for fold in (True, False):
+            kept = near_duplicates.drop_near_duplicates(rows, threshold, fold, order=["_pos"])
+            parts.append(kept.select(F.lit(threshold).alias("threshold"), F.lit(fold).alias("fold"), "DeviceId", "Status", "_pos"))
+    return ordering.concatenated(parts)
+
+
 # --- gold -----------------------------------------------------------------------------------------
 
 
@@ -287,6 +339,35 @@ def gold_coffee(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coffee.coffee_machine_table(staged(_silver(spark, sf_dir), "silver"))
 
 
+def gold_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Washing machines with Attributes that are cut off, of another shape, or of values that are no numbers."""
+    text = F.get(
+        F.array(
+            F.expr("substr(Attributes, 1, length(Attributes) - 3)"),
+            F.lit("[1, 2]"),
+            F.lit("7"),
+            F.lit(None).cast("string"),
+            F.lit('{"Temperature": "warm", "SpinningSpeed": "900.0", "TwinDos": [5], "FailureIds": [1, "x", null]}'),
+            F.col("Attributes"),
+        ),
+        (F.col("_pos") % 6).cast("int"),
+    )
+    rows = _valid(spark, sf_dir).withColumn("Attributes", text)
+    table = devices.washing_machine_table(rows)
+    return table.select(*IDENTITY, "Temperature_C", "SpinningSpeed", "TwinDos_Colour", "TwinDos_White", "FailureId")
+
+
+def coffee_name_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that would take a reserved column, that share a column name, and one that is repeated in an event."""
+    more = """concat(substr(Attributes, 1, length(Attributes) - 1), ', {"Id": "Status", "Value": 1, "Unit": "x"}',
+ ', {"Id": "Cup Size", "Value": ', _pos % 5, ', "Unit": "cl"}, {"Id": "Temperature", "Value": 1, "Unit": "K"}]')"""
+    rows = _valid(spark, sf_dir).where(F.lower("DeviceType").contains("coffee")).withColumn("Attributes", F.expr(more))
+    rows = staged(rows, "clashes")
+    first = coffee.coffee_machine_table(rows)
+    last = coffee.coffee_machine_table(rows, on_duplicate="last")
+    return first.withColumn("counts", F.lit("first")).unionByName(last.withColumn("counts", F.lit("last"))).drop("_ingested_at", "_source_file")
+
+
 def attribute_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coffee.attribute_rows(_silver(spark, sf_dir)).select(*IDENTITY, "Id", "Value", "Unit")
 
@@ -345,6 +426,13 @@ def devices_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.devices_with_failures(summary.device_summary(_silver(spark, sf_dir)))
 
 
+def summary_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary after every batch; a batch's events are counted once and never read again."""
+    events = build_silver(device_events(spark, sf_dir), PROCESSED_AT).events
+    partials = staged(summary.summary_partials(events, ["_batch_id"]), "partials")
+    return summary.summary_by_batch(partials, "_batch_id")
+
+
 # --- quality --------------------------------------------------------------------------------------
 
 
@@ -356,6 +444,27 @@ def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(_bronze(spark, sf_dir), PROCESSED_AT).metrics
 
 
+def quality_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of every load; of any range of loads they add up to those of `stage_counts`."""
+    return build_silver(device_events(spark, sf_dir), PROCESSED_AT).counters(["_batch_id"])
+
+
+def quality_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs append their checks to the log; the one with the low limit would have stopped."""
+    path, metrics = shared_dir(spark, "quality-log"), staged(quality_metrics(spark, sf_dir), "metrics")
+    for run_at, limit in (("2024-02-02T00:00:00Z", 1.0), ("2024-02-03T00:00:00Z", 99.0)):
+        checks = quality.quality_alerts(metrics, invalid_threshold=limit)
+        tables.append_rows(checks.withColumn("_run_at", F.lit(run_at)), path)
+        try:
+            quality.enforce(checks.where(F.col("check") == "invalid_pct"), "fail")
+            stopped = False
+        except quality.QualityBreach:
+            stopped = True
+        tables.append_rows(checks.limit(1).select(F.lit("stopped").alias("check"), F.lit(stopped).alias("breached"), F.lit(run_at).alias("_run_at")), path)
+    schema = "check string, value double, threshold double, breached boolean, message string, _run_at string"
+    return spark.read.schema(schema).parquet(path).select("check", "value", "threshold", "breached", "_run_at")
+
+
 def quality_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a low limit on invalid rows, so that one check fires."""
     metrics = build_silver(_bronze(spark, sf_dir), PROCESSED_AT).metrics
@@ -382,6 +491,15 @@ def routing_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.routing_counts(silver, {name: gold[name] for name in DEVICE_TABLES})
 
 
+def routed_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same check on silver stored by family, where every gold table reads its partitions only."""
+    path = shared_dir(spark, "routed")
+    tables.overwrite_table(devices.with_families(_silver(spark, sf_dir)), path, partition_by=[devices.FAMILIES])
+    silver = tables.read_table(spark, path, ROUTED_SILVER)
+    gold = build_gold(silver)
+    return quality.routing_counts(silver, {name: gold[name] for name in DEVICE_TABLES})
+
+
 # --- tables, files and streams --------------------------------------------------------------------
 
 
@@ -424,6 +542,94 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, SILVER).select(*IDENTITY, "Attributes", "_silver_processed_at")
 
 
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV file whose fields hold line breaks and quotes, read by several tasks."""
+    path = shared_dir(spark, "broken-csv")
+    broken = F.replace("Attributes", F.lit(", "), F.lit(',\n"'))
+    write_csv(_valid(spark, sf_dir).select(*IDENTITY, broken.alias("Attributes"), "_pos").coalesce(1), path)
+    schema = T.StructType([BRONZE[c] for c in (*IDENTITY, "Attributes", "_pos")])
+    return read_csv(spark, path, schema, range_bytes=1 << 16)
+
+
+def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table that is created empty, filled, refreshed with nothing; and of the layers on an empty table."""
+    path, rows = shared_dir(spark, "lifecycle"), _silver(spark, sf_dir)
+
+    def state(step: str, table: DataFrame) -> DataFrame:
+        # Written at once, as the table changes with the next step.
+        return staged(table.agg(F.count("*").alias("rows")).select(F.lit(step).alias("step"), "rows"), "step")
+
+    tables.create_table(spark, path, SILVER)
+    steps = [state("created", tables.read_table(spark, path, SILVER))]
+    any_rows = tables.write_if_any(rows, path)
+    steps.append(state(f"filled {any_rows}", tables.read_table(spark, path, SILVER)))
+    any_rows = tables.write_if_any(rows.where("false"), path)
+    steps.append(state(f"refreshed {any_rows}", tables.read_table(spark, path, SILVER)))
+    empty = build_silver(_bronze(spark, sf_dir).where("false"), PROCESSED_AT)
+    steps.append(state("empty silver", empty.events))
+    steps += [state(f"empty {name}", table) for name, table in build_gold(empty.events).items()]
+    return ordering.concatenated(steps)
+
+
+def replay_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of the two previews after every third batch: which rows they show is free."""
+    table, parts = _batch_table(spark, sf_dir), []
+    for batch in [r[0] for r in tables.list_batches(table).collect()][::3]:
+        for kind, rows in zip(("plain", "prefixed"), tables.replay_samples(table, batch, n=500)):
+            counted = rows.agg(F.count("*").alias("rows"), F.count_if(F.col("DeviceId").startswith("syn_")).alias("prefixed_rows"))
+            parts.append(counted.select(F.lit(batch).cast("long").alias("_batch_id"), F.lit(kind).alias("preview"), "rows", "prefixed_rows"))
+    return ordering.concatenated(parts)
+
+
+def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table that a run from message lines to gold leaves."""
+    source, output = shared_dir(spark, "messages"), shared_dir(spark, "lake")
+    messages(spark, sf_dir).orderBy("_pos").select(F.col("message").alias("value")).coalesce(1).write.text(source)
+    result = run_layers(spark, source, output, batch_id=1, ingested_at=PROCESSED_AT, processed_at=PROCESSED_AT, layout="lines")
+    counts = {"bronze": result.bronze.rows_written, "silver": result.silver.rows_out, **result.gold.rows_by_table}
+    counts |= {"unknown_types": result.gold.unknown_types, "alerts": len(result.alerts)}
+    return spark.createDataFrame(list(counts.items()), "`table` string, rows long")
+
+
+def zorder_skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows found by device, by time and by both on a table clustered on the two, and whether files were skipped."""
+    path, silver = shared_dir(spark, "zorder"), staged(_silver(spark, sf_dir), "silver")
+    compact_z(silver, path, files=16)
+    device = silver.agg(F.min("DeviceId")).first()[0]
+    stored, parts = spark.read.parquet(f"{path}/files").count(), []
+    filters = {"device": {"DeviceId": (device, device)}, "time": {"TimestampUTC": (None, "2024-01-02T23:59:59Z")}}
+    filters["both"] = filters["device"] | filters["time"]
+    for name, ranges in filters.items():
+        rows = read_skipping(spark, path, SILVER, ranges)
+        skips = len(rows.inputFiles()) < stored
+        parts.append(rows.agg(F.count("*").alias("rows")).select(F.lit(name).alias("filter"), "rows", F.lit(skips).alias("skips")))
+    return ordering.concatenated(parts)
+
+
+def attribute_drift_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths that most events have and the known ones, a fifth, don't; in most events the unit is an object, too."""
+    path, rows = shared_dir(spark, "schemas"), messages(spark, sf_dir)
+    rows = rows.where(F.lower("DeviceType").rlike("washing|dishwasher") & ~F.col("Attributes").contains("FailureIds"))
+    tables.overwrite_table(drift.family_schemas(rows.where("event_id % 5 = 0")), path)
+    unit = F.regexp_replace("Attributes", '"(Celsius|Fahrenheit)"', '{"name": "$1", "scale": [1, 2]}')
+    found = drift.family_schemas(rows.where("event_id % 5 <> 0").withColumn("Attributes", unit))
+    return drift.schema_drift(drift.stored_schemas(spark, path), found).select("family", "path", "old_type", "new_type")
+
+
+def registered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A compacted table by its name in the catalog, and the failure view beside it."""
+    path = shared_dir(spark, "registered")
+    silver = staged(_silver(spark, sf_dir), "silver")
+    compact(silver, path)
+    name = "events_" + uuid.uuid4().hex
+    register(spark, name, path)
+    register_failure_view(summary.device_summary(silver), f"failing_{name}")
+    return spark.sql(
+        f"""select e.DeviceType, count(*) as rows, count(f.DeviceId) as rows_of_failing
+from {name} e left join failing_{name} f on f.DeviceId = e.DeviceId and f.DeviceType = e.DeviceType group by e.DeviceType"""
+    )
+
+
 def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "compact")
     compact(_silver(spark, sf_dir), path)
@@ -483,6 +689,17 @@ def streaming_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stream_silver(spark, _streamed_silver(spark, sf_dir)).select(*IDENTITY)
 
 
+def streaming_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals, the later events first, equal one run over all of them."""
+    source, output, checkpoint = (shared_dir(spark, name) for name in ("events", "loads", "checkpoint"))
+    rows = device_events(spark, sf_dir)
+    for arrival in (1, 0):
+        tables.append_rows(rows.where(F.col("_batch_id") % 2 == arrival).drop("_batch_id"), source)
+        stream = spark.readStream.schema(BRONZE).parquet(source)
+        stream_loads(stream, output, checkpoint, PROCESSED_AT, first_batch=1).awaitTermination()
+    return read_days(spark, output).select(*SILVER.names)
+
+
 def streaming_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_stream_dead_letters(spark, _streamed_silver(spark, sf_dir))
     return rows.select(*IDENTITY, "_pos", "_rejection_reason")
@@ -547,5 +764,23 @@ QUERIES: dict[str, Query] = {
         streaming_dedup,
         streaming_silver,
         streaming_dead_letter,
+        bronze_split_array,
+        incremental_silver,
+        incremental_summary,
+        fuzzy_dedup_crowded,
+        gold_malformed,
+        coffee_name_clashes,
+        summary_by_batch,
+        quality_by_batch,
+        quality_log,
+        routed_gold,
+        csv_line_breaks,
+        table_lifecycle,
+        replay_previews,
+        layers_end_to_end,
+        streaming_near_duplicates,
+        zorder_skipping,
+        attribute_drift_all,
+        registered_table,
     ]
 }
