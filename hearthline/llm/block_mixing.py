@@ -41,6 +41,8 @@ WEIGHTS = [3, 1, 2]
 ROWS_PER_BUCKET = 2_000
 #: Slots that one row of the work list stands for.
 SLOTS_PER_ROW = 50_000
+#: Tasks that number slots, at most.
+MOST_TASKS = 10_000
 
 
 def target_sizes(sizes: list[int], epochs_total: float = 1.5, most: int = 2) -> list[float]:
@@ -192,7 +194,10 @@ def plan_mix(docs: DataFrame, block_words: int = 128, n_shards: int = 64, epochs
                 words = np.where(epoch < r.whole, own, np.minimum(own, r.rest - before))
                 yield pd.DataFrame({"shard": r.shard, "slot": slot, "s": r.s, "block": block, "epoch": epoch, "words": words})
 
-    slots = work.repartition("shard", "s", "skip").mapInPandas(number, "shard int, slot long, s int, block long, epoch long, words long")
+    # As many tasks as there is work, and a table whose size the planner knows: slots grow with the corpus.
+    n_tasks = max(1, min(MOST_TASKS, int((-(-counts // SLOTS_PER_ROW)).sum())))
+    numbered = work.repartition(n_tasks, "shard", "s", "skip").mapInPandas(number, "shard int, slot long, s int, block long, epoch long, words long")
+    slots = staged(numbered, "mix-slots")
     full = placed.where("size > 0")
     cut = full.withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))))
     head = F.col("block") * block_words - F.col("start")
