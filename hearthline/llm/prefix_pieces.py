@@ -87,10 +87,6 @@ class Pieces:
         self.ending.make_automaton()
         self.known_pairs: dict[int, bool] = {}
         self.n = len(kinds)
-        self.written = list(map(str, range(self.n)))
-        # What a piece decodes to on its own; of bytes and control ids nothing that could be joined.
-        self.plain = {i: t.replace(SPACE_MARK, " ") for t, i in self.id_of.items()}
-        self.printable = self.characters.issuperset(SPACE_MARK + "".join(map(chr, range(0x21, 0x7F))))
 
     def joined(self, x: int, y: int) -> int:
         """The rank of the merge of x and y, NEVER if there is none."""
@@ -159,9 +155,8 @@ class Pieces:
         """Ids of a word with the spaces before it."""
         if len(self.known_pairs) > PAIRS:
             self.known_pairs.clear()
-        easy = self.printable and word.isascii() and word.isprintable()
         word = word.replace(" ", SPACE_MARK)
-        if easy or self.characters.issuperset(word):
+        if self.characters.issuperset(word):
             return self._encode_known(word)
         ids, begin = [], 0
         for at, c in enumerate(word):
@@ -178,10 +173,6 @@ class Pieces:
 
     def joined_text(self, ids: list[int]) -> str:
         """The pieces' text, the space at the front left in."""
-        try:
-            return "".join(map(self.plain.__getitem__, ids))
-        except KeyError:
-            pass
         out, raw = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -191,7 +182,7 @@ class Pieces:
                 out.append(_utf8(raw))
                 raw = bytearray()
             if self.kinds[i] == NORMAL:
-                out.append(self.plain[i])
+                out.append(self.text_of[i].replace(SPACE_MARK, " "))
             elif self.kinds[i] == UNKNOWN:
                 out.append(self.unknown_text)
         if raw:
@@ -223,31 +214,25 @@ def _utf8(raw: bytearray) -> str:
 
 
 class Encoder:
-    """Encodes texts; remembers of a bounded number of words the ids as written, and the text they decode to."""
+    """Encodes texts; remembers of a bounded number of words the tokens, as ids, as written, and as text."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.known: dict[str, tuple[str, str]] = {}
-
-    def _row(self, word: str) -> tuple[str, str]:
-        ids = self.pieces.encode_word(word)
-        row = " ".join(map(self.pieces.written.__getitem__, ids)), self.pieces.joined_text(ids)
-        if len(word) <= LONGEST:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = row
-        return row
-
-    def encode(self, text: str) -> tuple[str, str]:
-        """The decimal ids of the text and the end id, joined by a space; and what they decode to."""
-        words = self.pieces.words(text)
-        rows = list(map(self.known.get, words))
-        if None in rows:
-            # A word that comes again in the text is known by then.
-            rows = [r or self.known.get(w) or self._row(w) for r, w in zip(rows, words)]
-        written = [r[0] for r in rows]
-        written.append(self.pieces.written[self.pieces.end])
-        return " ".join(written), "".join([r[1] for r in rows]).removeprefix(" ")
+        self.known: dict[str, tuple[int, str, str, list[int]]] = {}
+
+    def encode(self, text: str) -> list[tuple[int, str, str, list[int]]]:
+        known, out = self.known, []
+        for word in self.pieces.words(text):
+            row = known.get(word)
+            if row is None:
+                ids = self.pieces.encode_word(word)
+                row = len(ids), " ".join(map(str, ids)), self.pieces.joined_text(ids), ids
+                if len(word) <= LONGEST:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[word] = row
+            out.append(row)
+        return out
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -267,15 +252,16 @@ def piece_encode(docs: DataFrame, model_file: str, ids: bool = True) -> DataFram
         if key not in _ENCODERS:
             _ENCODERS[key] = Encoder(Pieces(shipped.value))
         encoder = _ENCODERS[key]
+        end = encoder.pieces.end
         for batch, text in slices(batches):
             n, coded, plain, flat = [], [], [], []
             for t in text.to_pylist():
-                written, decoded = encoder.encode(t)
-                n.append(written.count(" ") + 1)
-                coded.append(sha(written))
-                plain.append(sha(decoded))
+                rows = encoder.encode(t)
+                n.append(sum([r[0] for r in rows]) + 1)
+                coded.append(sha(" ".join([r[1] for r in rows] + [str(end)])))
+                plain.append(sha("".join([r[2] for r in rows]).removeprefix(" ")))
                 if ids:
-                    flat.append(list(map(int, written.split())))
+                    flat.append([i for r in rows for i in r[3]] + [end])
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(plain, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
