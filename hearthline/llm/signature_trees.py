@@ -9,16 +9,21 @@ tokens are a bounded list (`MOST_FREQUENT`), and whatever is on it, the result i
 Classes that share a prefix token meet in a signature tree: a leaf holds a class's bitmap of tokens and its
 size, a node the OR of its children's bitmaps and the range of their sizes. Trees are traversed in pairs from
 the root down; a pair of nodes is dropped when no two members can overlap enough, by the bits both have and
-the sizes. Two rounds:
+the sizes, or when all their members are connected already. Three steps:
 
 1. Each class is in the tree of its first shared token only, with its text; leaf pairs that remain are
    compared exactly unless they are connected already. Trees of more than TREE_SIZE classes are cut into
    several by a hash, all of which get the smallest class as well.
-2. Where a prefix token still leads together classes of different components, a tree of its classes (cut into
-   blocks, and trees for all pairs of blocks, above TREE_SIZE) gives the leaf pairs that can still be links;
-   these are few, and are compared exactly on their texts.
+2. A class that shares tokens with a larger component than its own is compared with one member of it, the one
+   with which it shares most prefix tokens: one comparison per class, at most BRIDGES times. This joins what
+   the first step left of groups of near copies.
+3. Where a prefix token still leads together classes of different components, a tree of their bitmaps (cut into
+   blocks, and trees for all pairs of blocks, above MARKED_SIZE) tells which classes can still have a link
+   there. Only these come again, with their texts, into the token's tree, which compares exactly and gives at
+   most one link per pair of components.
 
-So no link is lost, whatever the group sizes, and a group of n near copies costs about n comparisons.
+So no link is lost, whatever the group sizes; a group of n near copies costs about n comparisons, and every step
+gives at most a row per class and token.
 
 Defined cases: null and empty texts have empty sets and are linked with nothing; fewer words than five are one
 shingle; rows with the same id are separate documents; a null id is never the smallest but in a component
@@ -28,6 +33,7 @@ are compared by 64-bit hashes. The text of a class is fetched by a hash of id an
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,11 +43,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import WordHashes, buffers, mix64, slices, text_bytes, words, written
+from hearthline.llm.common import SPACE, buffers, mix64, slices, written
 from hearthline.llm.components import components
 
 SHINGLE = 5
 TREE_SIZE, TREE_TOKENS = 256, 4_000_000
+#: Classes in a tree of bitmaps alone, and how often classes are compared with a larger component.
+MARKED_SIZE, BRIDGES = 2048, 3
 #: A token counts as frequent from so many sets within CHUNK tokens of a task; so many tokens are listed.
 FREQUENT, CHUNK, MOST_FREQUENT = 4, 2_000_000, 100_000
 #: Prefix tokens per bucket of the search for shared ones.
@@ -51,27 +59,87 @@ BUCKET = 1_000_000
 # --- sets ------------------------------------------------------------------------------------------------
 
 
-def shingles(word_hash: np.ndarray, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the windows of `size` words."""
-    if not len(word_hash):
-        return np.empty(0, np.uint64)
-    n = min(size, len(word_hash))
-    out = np.full(len(word_hash) - n + 1, n, np.uint64)
+#: 256 bytes: A-Z in lower case.
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+#: Longer words are hashed one by one.
+LONG_WORD = 256
+
+
+def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of texts that lie one after another, and the offsets of each text's words."""
+    raw = LOWER[raw]
+    inside = ~SPACE[raw]
+    new = np.zeros(len(raw) + 1, bool)
+    new[at] = True
+    begin = np.flatnonzero(inside & (new[:-1] | np.append(True, ~inside[:-1])[: len(raw)]))
+    end = np.flatnonzero(inside & (new[1:] | np.append(~inside[1:], True)[: len(raw)])) + 1
+    doc = np.searchsorted(at, begin, "right") - 1
+    first = np.append(0, np.cumsum(np.bincount(doc, minlength=len(at) - 1)))
+    x = np.concatenate([raw, np.zeros(7, np.uint8)]).astype(np.uint64)
+    for step in (1, 2, 4):
+        x = x[:-step] | (x[step:] << np.uint64(8 * step))
+    size = end - begin
+    out = size.astype(np.uint64)
+    live = np.flatnonzero(size <= LONG_WORD)
+    k = 0
     with np.errstate(over="ignore"):
-        for k in range(n):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + word_hash[k : len(word_hash) - n + 1 + k]
-    return np.unique(mix64(out))
-
-
-def set_number(tokens: np.ndarray) -> int:
-    """A signed 64-bit number of the set."""
-    with np.errstate(over="ignore"):
-        total = mix64(tokens ^ np.uint64(0xD1B54A32D192ED03)).sum(dtype=np.uint64) + np.uint64(len(tokens))
-        return int(mix64(np.array([total], np.uint64))[0].astype(np.int64))
-
-
-def sets_of(column: pa.Array, hashes: WordHashes) -> list[np.ndarray]:
-    return [shingles(hashes(words(t.lower()))) for t in text_bytes(*buffers(column))]
+        while len(live):
+            rest = size[live] - k
+            chunk = x[begin[live] + k]
+            short = rest < 8
+            chunk[short] &= (np.uint64(1) << (8 * rest[short]).astype(np.uint64)) - np.uint64(1)
+            out[live] = mix64(out[live] * np.uint64(0x9E3779B97F4A7C15) + chunk)
+            k += 8
+            live = live[size[live] > k]
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = int.from_bytes(hashlib.blake2b(raw[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out, first
+
+
+class Sets:
+    """The sets of texts, one after another: sorted distinct hashes of the windows of `size` words (of all words, if
+    there are fewer), those of text i from at[i] to at[i + 1]."""
+
+    def __init__(self, column: pa.Array, size: int = SHINGLE):
+        word, first = word_hashes(*buffers(column))
+        count = np.diff(first)
+        tokens, docs = [], []
+        for n in range(1, size + 1):
+            some = count == n if n < size else count >= n
+            if n < size:
+                place, doc = first[:-1][some], np.flatnonzero(some)
+            else:
+                doc = np.repeat(np.arange(len(count)), np.where(some, count - n + 1, 0))
+                each = np.where(some, count - n + 1, 0)
+                place = np.arange(len(doc)) + np.repeat(first[:-1] - (np.cumsum(each) - each), each)
+            token = np.full(len(place), n, np.uint64)
+            with np.errstate(over="ignore"):
+                for k in range(n):
+                    token = token * np.uint64(0x9E3779B97F4A7C15) + word[place + k]
+            tokens.append(mix64(token))
+            docs.append(doc)
+        token, doc = np.concatenate(tokens), np.concatenate(docs)
+        order = np.lexsort((token, doc))
+        token, doc = token[order], doc[order]
+        keep = np.append(True, (token[1:] != token[:-1]) | (doc[1:] != doc[:-1]))[: len(token)]
+        self.tokens, self.doc = token[keep], doc[keep]
+        self.sizes = np.bincount(self.doc, minlength=len(count))
+        self.at = np.append(0, np.cumsum(self.sizes))
+
+    def __len__(self) -> int:
+        return len(self.sizes)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.tokens[self.at[i] : self.at[i + 1]]
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        return (self[i] for i in range(len(self)))
+
+    def numbers(self) -> np.ndarray:
+        """A signed 64-bit number of each set."""
+        with np.errstate(over="ignore"):
+            total = np.append(np.uint64(0), np.cumsum(mix64(self.tokens ^ np.uint64(0xD1B54A32D192ED03)), dtype=np.uint64))
+            return mix64(total[self.at[1:]] - total[self.at[:-1]] + self.sizes.astype(np.uint64)).astype(np.int64)
 
 
 def enough(common: int, one: int, two: int) -> bool:
@@ -97,16 +165,26 @@ def prefix(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.nda
     return tokens[order], some[order]
 
 
+def prefixes(sets: Sets, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The `prefix` of every set: tokens, which of them are frequent, and their sets."""
+    some = np.zeros(len(sets.tokens), bool)
+    if len(frequent) and len(some):
+        some = frequent[np.minimum(np.searchsorted(frequent, sets.tokens), len(frequent) - 1)] == sets.tokens
+    order = np.argsort(2 * sets.doc + some, kind="stable")
+    rank = np.arange(len(order)) - sets.at[sets.doc]
+    order = order[rank < (sets.sizes - -(-4 * sets.sizes // 5) + 1)[sets.doc]]
+    return sets.tokens[order], some[order], sets.doc[order]
+
+
 # --- trees -----------------------------------------------------------------------------------------------
 
 
 def bitmaps(tokens: list[np.ndarray], bits: int) -> np.ndarray:
     """[sets, bits / 64]"""
-    out = np.zeros((len(tokens), bits // 64), np.uint64)
+    out = np.zeros((len(tokens), bits), bool)
     for row, t in zip(out, tokens):
-        place = (t & np.uint64(bits - 1)).astype(np.int64)
-        np.bitwise_or.at(row, place >> 6, np.uint64(1) << (place & 63).astype(np.uint64))
-    return out
+        row[(t & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(out, axis=1, bitorder="little").view("<u8").astype(np.uint64, copy=False)
 
 
 def width(n: int, per_token: int, most: int = 1 << 19) -> int:
@@ -114,36 +192,42 @@ def width(n: int, per_token: int, most: int = 1 << 19) -> int:
     return min(most, max(64, 1 << (per_token * n - 1).bit_length())) if n else 64
 
 
-def leaf_pairs(tokens: list[np.ndarray], sizes: np.ndarray, bits: int = 0) -> np.ndarray:
+def leaf_pairs(tokens: list[np.ndarray], sizes: np.ndarray, bits: int = 0, labels: np.ndarray | None = None) -> np.ndarray:
     """Pairs (i < j) of sets that can be similar, by dual traversal of a signature tree.
 
     tokens: numbers whose low bits place a set's tokens in its bitmap (several tokens may share a number).
+    labels: of sets that are connected already; no pairs of one label are given.
     """
     n = len(tokens)
     if n < 2:
         return np.empty((0, 2), np.int64)
     bits = bits or width(int(sizes.max()), 8)
-    order = np.lexsort(([int(t[0]) if len(t) else 0 for t in tokens], sizes))
+    label = np.arange(n) if labels is None else labels
+    order = np.lexsort(([int(t[0]) if len(t) else 0 for t in tokens], sizes, np.zeros(n) if labels is None else label))
     maps = bitmaps([tokens[i] for i in order], bits)
+    least = most = label[order]
     low = high = sizes[order].astype(np.int64)
     # Tokens of a set beyond its bits: they can lie on any common bit.
     hidden = high - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
-    levels = [(maps, low, high, hidden)]
+    levels = [(maps, low, high, hidden, least, most)]
     while len(low) > 1:
-        maps, low, high, hidden = levels[-1]
+        maps, low, high, hidden, least, most = levels[-1]
         first = np.arange(0, len(low), 2)
-        levels.append((np.bitwise_or.reduceat(maps, first, axis=0), np.minimum.reduceat(low, first), np.maximum.reduceat(high, first), np.maximum.reduceat(hidden, first)))
+        levels.append((np.bitwise_or.reduceat(maps, first, axis=0), np.minimum.reduceat(low, first), np.maximum.reduceat(high, first), np.maximum.reduceat(hidden, first), np.minimum.reduceat(least, first), np.maximum.reduceat(most, first)))
         low = levels[-1][1]
     pairs = np.zeros((1, 2), np.int64)
-    for maps, low, high, hidden in levels[-2::-1]:
+    for maps, low, high, hidden, least, most in levels[-2::-1]:
         children = np.stack([2 * pairs[:, :1] + [0, 0, 1, 1], 2 * pairs[:, 1:] + [0, 1, 0, 1]], axis=2).reshape(-1, 2)
         children = children[(children[:, 0] <= children[:, 1]) & (children < len(low)).all(axis=1)]
+        if labels is not None:
+            x, y = children.T
+            children = children[(np.minimum(least[x], least[y]) < np.maximum(most[x], most[y]))]
         kept = []
         for a in range(0, len(children), 4096):
             x, y = children[a : a + 4096].T
             common = np.bitwise_count(maps[x] & maps[y]).sum(axis=1, dtype=np.int64) + np.minimum(hidden[x], hidden[y])
-            most = np.minimum(common, np.minimum(high[x], high[y]))
-            fits = (9 * most >= 4 * (low[x] + low[y])) & (5 * high[x] >= 4 * low[y]) & (5 * high[y] >= 4 * low[x])
+            shared = np.minimum(common, np.minimum(high[x], high[y]))
+            fits = (9 * shared >= 4 * (low[x] + low[y])) & (5 * high[x] >= 4 * low[y]) & (5 * high[y] >= 4 * low[x])
             kept.append(np.stack([x[fits], y[fits]], axis=1))
         pairs = np.concatenate(kept) if kept else children
     pairs = order[pairs[pairs[:, 0] != pairs[:, 1]]]
@@ -156,7 +240,17 @@ def packed_marks(tokens: np.ndarray) -> bytes:
     return bitmaps([tokens], bits).tobytes()
 
 
-def marked_pairs(marks: list[bytes], sizes: np.ndarray) -> np.ndarray:
+def may_link(one: bytes, two: bytes, n: int, m: int) -> bool:
+    """Whether sets of n and m tokens with these bitmaps can be similar."""
+    a, b = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+    if len(a) > len(b):
+        a, b, n, m = b, a, m, n
+    b = np.bitwise_or.reduce(b.reshape(-1, len(a)), axis=0)
+    bits = [int(np.bitwise_count(x).sum(dtype=np.int64)) for x in (a, b, a & b)]
+    return enough(min(bits[2] + min(n - bits[0], m - bits[1]), n, m), n, m)
+
+
+def marked_pairs(marks: list[bytes], sizes: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
     """Pairs (i < j) of sets that can be similar, by their packed bitmaps.
 
     Sets that are similar have bitmaps of one width or of neighbouring ones; so there is a tree for each width
@@ -167,14 +261,18 @@ def marked_pairs(marks: list[bytes], sizes: np.ndarray) -> np.ndarray:
     out = []
     for bits in np.unique(wide):
         rows = np.flatnonzero((wide == bits) | (wide == 2 * bits))
-        pairs = rows[leaf_pairs([places[i] for i in rows], sizes[rows], int(bits))]
+        pairs = rows[leaf_pairs([places[i] for i in rows], sizes[rows], int(bits), None if labels is None else labels[rows])]
         out.append(pairs[(wide[pairs] == bits).any(axis=1)])
     return np.concatenate(out) if out else np.empty((0, 2), np.int64)
 
 
-def linked(numbers: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect the sets as all links between them would; pairs already connected aren't compared."""
+def linked(numbers: np.ndarray, sets: list[np.ndarray], labels: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect the sets as all links between them would; pairs already connected aren't compared. Sets of
+    one label are connected from the start."""
     root = list(range(len(sets)))
+    if labels is not None:
+        _, first, group = np.unique(labels, return_index=True, return_inverse=True)
+        root = first[group].tolist()
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -184,7 +282,7 @@ def linked(numbers: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]
 
     out = []
     sizes = np.array([len(s) for s in sets])
-    pairs = leaf_pairs(sets, sizes)
+    pairs = leaf_pairs(sets, sizes, 0, labels)
     for i, j in pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].tolist():
         a, b = find(i), find(j)
         if a != b and enough(overlap(sets[i], sets[j]), len(sets[i]), len(sets[j])):
@@ -200,7 +298,7 @@ def _measured(docs: DataFrame) -> DataFrame:
     """A row (doc_id, key, n, cls) per document, and rows (token, times) of what is frequent within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, held, n = WordHashes(), set(), [], 0
+        seen, held, n = set(), [], 0
         names = ["doc_id", "key", "n", "cls", "token", "times"]
 
         def frequent() -> pa.RecordBatch:
@@ -211,19 +309,17 @@ def _measured(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(token), pa.array(times, pa.int64())], names)
 
         for batch, column in slices(batches):
-            sets = sets_of(column, hashes)
-            cls = [set_number(s) for s in sets]
+            sets = Sets(column)
+            cls = sets.numbers()
             none = pa.nulls(len(sets), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.int64()), none, none], names)
-            for s, c in zip(sets, cls):
-                if c not in seen:
-                    seen.add(c)
-                    held.append(s)
-                    n += len(s)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(sets.sizes, pa.int64()), pa.array(cls, pa.int64()), none, none], names)
+            new = np.array([c not in seen and not seen.add(c) for c in cls.tolist()], bool)
+            held.append(sets.tokens[new[sets.doc]])
+            n += len(held[-1])
             if n > CHUNK:
                 yield frequent()
                 n = 0
-        if held:
+        if n:
             yield frequent()
 
     return docs.mapInArrow(run, "doc_id long, key long, n long, cls long, token long, times long")
@@ -234,7 +330,7 @@ def _entries(docs: DataFrame, frequent: Broadcast, buckets: int) -> DataFrame:
     (`often`), of token and class, so that no bucket gets all classes of a frequent token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, held, n = WordHashes(), set(), [], 0
+        seen, held, n = set(), [], 0
         names = ["bucket", "often", "tokens", "owners", "sizes"]
 
         def send() -> pa.RecordBatch:
@@ -249,17 +345,18 @@ def _entries(docs: DataFrame, frequent: Broadcast, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns + [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)], names)
 
         for _, column in slices(batches):
-            for s in sets_of(column, hashes):
-                c = set_number(s)
-                if len(s) and c not in seen:
-                    seen.add(c)
-                    t, often = prefix(s, frequent.value)
-                    held.append((t, often, np.full(len(t), c, np.int64), np.full(len(t), len(s), np.int32)))
-                    n += len(t)
+            sets = Sets(column)
+            cls = sets.numbers()
+            new = np.array([c not in seen and not seen.add(c) for c in cls.tolist()], bool)
+            token, often, doc = prefixes(sets, frequent.value)
+            use = new[doc]
+            doc = doc[use]
+            held.append((token[use], often[use], cls[doc], sets.sizes[doc].astype(np.int32)))
+            n += len(doc)
             if n > BUCKET:
                 yield send()
                 n = 0
-        if held:
+        if n:
             yield send()
 
     return docs.select("text").mapInArrow(run, "bucket int, often boolean, tokens binary, owners binary, sizes binary")
@@ -288,10 +385,9 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     bitmap of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch, column in slices(batches):
-            sets = sets_of(column, hashes)
-            own = np.flatnonzero(np.array([set_number(s) for s in sets]) == batch.column("cls").to_numpy())
+            sets = Sets(column)
+            own = np.flatnonzero(sets.numbers() == batch.column("cls").to_numpy())
             marks = [packed_marks(sets[i]) for i in own]
             cls, repeated = (batch.column(c).take(pa.array(own)) for c in ("cls", "repeated"))
             yield pa.RecordBatch.from_arrays([cls, pa.array(marks, pa.binary()), column.take(pa.array(own)).cast(pa.string()), repeated], ["cls", "marks", "text", "repeated"])
@@ -299,24 +395,26 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.join(wanted, "key").select("cls", "text", "repeated").mapInArrow(run, "cls long, marks binary, text string, repeated boolean")
 
 
-def _blocks() -> F.Column:
-    return F.greatest(F.ceil(F.col("count") / TREE_SIZE), F.ceil(F.col("tokens") / TREE_TOKENS)).cast("int").alias("blocks")
+def _blocks(size: int) -> F.Column:
+    return F.greatest(F.ceil(F.col("count") / size), F.ceil(F.col("tokens") / TREE_TOKENS)).cast("int").alias("blocks")
+
+
+def _tree_sets(table: pa.Table, first: np.ndarray) -> list[np.ndarray]:
+    return list(Sets(pa.concat_arrays([c.cast(pa.large_string()) for c in table.column("text").chunks]).take(pa.array(first))))
 
 
 def _first_links(shared: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of the first round."""
     home = written(shared.groupBy("cls").agg(F.min("token").alias("token"), F.max("n").alias("n")), "tree-homes")
     groups = home.groupBy("token").agg(F.count("*").alias("count"), F.sum("n").alias("tokens"), F.min("cls").alias("pivot")).where("count > 1")
-    groups = groups.select("token", "pivot", _blocks())
+    groups = groups.select("token", "pivot", _blocks(TREE_SIZE))
     own = home.join(groups, "token").select("cls", "token", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
     pivots = groups.where("blocks > 1").select(F.col("pivot").alias("cls"), "token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     members = own.unionByName(pivots).join(texts.select("cls", "text"), "cls").select("token", "block", "cls", "text")
 
     def tree(table: pa.Table) -> pa.Table:
         cls, first = np.unique(table.column("cls").to_numpy(), return_index=True)
-        column = pa.concat_arrays([c.cast(pa.large_string()) for c in table.column("text").chunks]).take(pa.array(first))
-        found = linked(cls, sets_of(column, WordHashes()))
-        return _links(found)
+        return _links(linked(cls, _tree_sets(table, first)))
 
     return members.groupBy("token", "block").applyInArrow(tree, "a long, b long")
 
@@ -325,30 +423,74 @@ def _links(found: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
 
-def _further_pairs(shared: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that can still be links."""
-    named = labels.withColumnRenamed("node", "cls")
-    rows = shared.join(named, "cls", "left").select("token", "cls", "n", F.coalesce("label", "cls").alias("label"))
+def _named(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, cls, n, label, weight): the component of each class and the number of its classes."""
+    named = labels.join(labels.groupBy("label").agg(F.count("*").alias("weight")), "label").withColumnRenamed("node", "cls")
+    return shared.join(named, "cls", "left").select("token", "cls", "n", F.coalesce("label", "cls").alias("label"), F.coalesce("weight", F.lit(1)).alias("weight"))
+
+
+def _bridges(shared: DataFrame, texts: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Links of classes to one member each of larger components that they share tokens with."""
+    rows = _named(shared, labels)
+    largest = F.max(F.struct("weight", "label", F.xxhash64("cls", F.lit(turn)).alias("any"), "cls", "n")).alias("pivot")
+    pivots = rows.groupBy("token").agg(largest, F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    pivots = pivots.select("token", *(F.col(f"pivot.{c}").alias(f"pivot_{c}") for c in ("cls", "label", "n")))
+    near = (5 * F.col("n") >= 4 * F.col("pivot_n")) & (5 * F.col("pivot_n") >= 4 * F.col("n"))
+    pairs = rows.join(pivots, "token").where((F.col("label") != F.col("pivot_label")) & near)
+    pairs = pairs.groupBy("cls", "pivot_cls", "n", "pivot_n").agg(F.count("*").alias("times"))
+    best = F.max(F.struct("times", F.xxhash64("pivot_cls", F.lit(turn)).alias("any"), "pivot_cls", "n", "pivot_n")).alias("best")
+    pairs = pairs.groupBy("cls").agg(best).select(F.col("cls").alias("a"), F.col("best.pivot_cls").alias("b"), "best.n", F.col("best.pivot_n").alias("m"))
+    return _confirmed(_possible(pairs, texts), texts)
+
+
+def _possible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of (a, b, n, m) whose bitmaps allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("one", "two", "n", "m"))
+            good = pa.array([may_link(*row) for row in zip(*columns)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
+
+    one = texts.select(F.col("cls").alias("a"), F.col("marks").alias("one"))
+    two = texts.select(F.col("cls").alias("b"), F.col("marks").alias("two"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "one", "two").mapInArrow(run, "a long, b long")
+
+
+def _cut(rows: DataFrame, size: int) -> DataFrame:
+    """(token, i, j, cls, n, label): the trees of tokens that several components have; above `size` classes one for each pair
+    of blocks. Tokens with the same classes need one tree."""
     groups = rows.groupBy("token").agg(
         F.count("*").alias("count"), F.sum("n").alias("tokens"), F.min("label").alias("least"), F.max("label").alias("most"),
         F.bit_xor(F.xxhash64("cls")).alias("one"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"),
     ).where("least <> most")
-    # Tokens with the same classes need one tree.
     groups = groups.groupBy("count", "one", "two").agg(F.min("token").alias("token"), F.max("tokens").alias("tokens"))
-    groups = groups.select("token", _blocks())
+    groups = groups.select("token", _blocks(size))
     own = rows.join(groups, "token").select("token", "cls", "n", "label", "blocks", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = own.withColumn("other", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "n", "label")
-    members = own.join(texts.select("cls", "marks"), "cls").select("token", "i", "j", "cls", "label", "n", "marks")
+    return own.withColumn("other", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "n", "label")
+
+
+def _open(shared: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, cls, n, label) of classes that can have a link to another component's class with the token."""
+    members = _cut(_named(shared, labels), MARKED_SIZE).join(texts.select("cls", "marks"), "cls").select("token", "i", "j", "cls", "label", "n", "marks")
 
     def tree(table: pa.Table) -> pa.Table:
         _, first = np.unique(table.column("cls").to_numpy(), return_index=True)
         table = table.take(pa.array(first))
-        cls, label = table.column("cls").to_numpy(), table.column("label").to_numpy()
-        pairs = marked_pairs(table.column("marks").to_pylist(), table.column("n").to_numpy())
-        pairs = pairs[label[pairs[:, 0]] != label[pairs[:, 1]]]
-        x, y = cls[pairs[:, 0]], cls[pairs[:, 1]]
-        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+        pairs = marked_pairs(table.column("marks").to_pylist(), table.column("n").to_numpy(), table.column("label").to_numpy())
+        return table.select(["token", "cls", "n", "label"]).take(pa.array(np.unique(pairs)))
+
+    return members.groupBy("token", "i", "j").applyInArrow(tree, "token long, cls long, n long, label long").distinct()
+
+
+def _last_links(opened: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components, by exact comparison of the open classes of every token."""
+    members = _cut(opened, TREE_SIZE // 2).join(texts.select("cls", "text"), "cls").select("token", "i", "j", "cls", "label", "text")
+
+    def tree(table: pa.Table) -> pa.Table:
+        cls, first = np.unique(table.column("cls").to_numpy(), return_index=True)
+        return _links(linked(cls, _tree_sets(table, first), table.column("label").to_numpy()[first]))
 
     return members.groupBy("token", "i", "j").applyInArrow(tree, "a long, b long").distinct()
 
@@ -357,10 +499,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs that are links, by their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch, column in slices(batches, "text_a"):
-            one = sets_of(column, hashes)
-            two = sets_of(batch.column("text_b").cast(pa.large_string()), hashes)
+            one, two = Sets(column), Sets(batch.column("text_b").cast(pa.large_string()))
             good = pa.array([enough(overlap(a, b), len(a), len(b)) for a, b in zip(one, two)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
@@ -404,7 +544,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     links = written(_first_links(shared, texts), "tree-links")
     labels = components(links)
-    more = written(_confirmed(_further_pairs(shared, texts, labels), texts), "tree-links")
+    for turn in range(BRIDGES):
+        more = written(_bridges(shared, texts, labels, turn), "tree-links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = components(links)
+    opened = written(_open(shared, texts, labels), "tree-open")
+    more = written(_last_links(opened, texts), "tree-links")
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = components(links)
