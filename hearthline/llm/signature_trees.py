@@ -363,7 +363,9 @@ def _entries(docs: DataFrame, frequent: Broadcast, buckets: int) -> DataFrame:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of a bucket the (token, cls, n, often) whose token has another class of a size near enough."""
+    """Of a bucket the (token, cls, n, often) whose token has another class of a size near enough. Tokens that the same
+    classes have are one, a hash of these classes stands for them (but for frequent tokens, as a bucket has a part of
+    their classes)."""
     out = []
     for often in (False, True):
         part = table.filter(pc.equal(table.column("often"), often))
@@ -375,7 +377,17 @@ def _shared(table: pa.Table) -> pa.Table:
             token, owner, n = token[new], owner[new], n[new]
             near = (token[1:] == token[:-1]) & (5 * n[:-1] >= 4 * n[1:])
             keep = np.append(False, near) | np.append(near, False) | often
-            out.append((token[keep], owner[keep], n[keep], np.full(int(keep.sum()), often)))
+            token, owner, n = token[keep], owner[keep], n[keep]
+            if not often and len(token):
+                first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+                with np.errstate(over="ignore"):
+                    group = mix64(np.add.reduceat(mix64(owner.astype(np.uint64)), first)).astype(np.int64)
+                token = np.repeat(group, np.diff(np.append(first, len(token))))
+                order = np.lexsort((owner, token))
+                token, owner, n = token[order], owner[order], n[order]
+                new = np.append(True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))
+                token, owner, n = token[new], owner[new], n[new]
+            out.append((token, owner, n, np.full(len(token), often)))
     columns = [np.concatenate([o[i] for o in out]) for i in range(4)] if out else [np.empty(0, np.int64)] * 3 + [np.empty(0, bool)]
     return pa.table(dict(zip(["token", "cls", "n", "often"], columns)))
 
@@ -440,7 +452,9 @@ def _bridges(shared: DataFrame, texts: DataFrame, labels: DataFrame, turn: int)
     pairs = pairs.groupBy("cls", "pivot_cls", "n", "pivot_n").agg(F.count("*").alias("times"))
     best = F.max(F.struct("times", F.xxhash64("pivot_cls", F.lit(turn)).alias("any"), "pivot_cls", "n", "pivot_n")).alias("best")
     pairs = pairs.groupBy("cls").agg(best).select(F.col("cls").alias("a"), F.col("best.pivot_cls").alias("b"), "best.n", F.col("best.pivot_n").alias("m"))
-    return _confirmed(_possible(pairs, texts), texts)
+    # Written, the planner knows that these are few, and needs no shuffle of the texts.
+    possible = written(_possible(written(pairs, "tree-pairs"), texts), "tree-pairs")
+    return _confirmed(possible, texts)
 
 
 def _possible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -486,7 +500,7 @@ def _open(shared: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _last_links(opened: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between components, by exact comparison of the open classes of every token."""
-    members = _cut(opened, TREE_SIZE // 2).join(texts.select("cls", "text"), "cls").select("token", "i", "j", "cls", "label", "text")
+    members = written(_cut(opened, TREE_SIZE // 2), "tree-open").join(texts.select("cls", "text"), "cls").select("token", "i", "j", "cls", "label", "text")
 
     def tree(table: pa.Table) -> pa.Table:
         cls, first = np.unique(table.column("cls").to_numpy(), return_index=True)
@@ -534,8 +548,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     shipped = spark.sparkContext.broadcast(frequent)
     found = written(_entries(docs, shipped, buckets).groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, often boolean"), "tree-shared")
-    # A frequent token's classes come from several tasks, copies more than once.
-    shared = found.where("not often").unionByName(found.where("often").dropDuplicates(["token", "cls"])).drop("often")
+    # Several buckets can have tokens of the same classes, and several tasks the classes of a frequent token.
+    shared = written(found.groupBy("token", "cls").agg(F.max("n").alias("n")), "tree-shared")
     wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls", "key").agg(F.count("*").alias("times"))
     # The key that fewest rows have; only rows that repeat text and id (or have none) share one.
     wanted = wanted.groupBy("cls").agg(F.min(F.struct("times", "key")).alias("row")).select("cls", "row.key", (F.col("row.times") > 1).alias("repeated"))
