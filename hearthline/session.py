@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's setting by which a statement removes its shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app_name: str = "hearthline", master: str | None = None, **conf: object) -> SparkSession:
     """Session with UTC times and adaptive execution; keyword `conf` entries use `__` for dots."""
@@ -43,8 +46,15 @@ def staged(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table written to the shared folder.
 
     Cuts the lineage, survives lost executors, and gives the planner the real size, by which it decides
-    whether a join may broadcast the table.
+    whether a join may broadcast the table. The shuffles that led to the table are removed once it is written:
+    nothing reads them again, and those of many steps would add up on the executors' disks.
     """
-    path = shared_dir(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark = rows.sparkSession
+    path = shared_dir(spark, purpose)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before else spark.conf.unset(SHUFFLE_CLEANUP)
+    return spark.read.schema(rows.schema).parquet(path)
