@@ -43,8 +43,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.common import SPACE, buffers, mix64, slices, written
+from hearthline.llm.common import SPACE, buffers, mix64, slices
 from hearthline.llm.components import components
+from hearthline.session import staged
 
 SHINGLE = 5
 TREE_SIZE, TREE_TOKENS = 256, 4_000_000
@@ -417,7 +418,7 @@ def _tree_sets(table: pa.Table, first: np.ndarray) -> list[np.ndarray]:
 
 def _first_links(shared: DataFrame, texts: DataFrame) -> DataFrame:
     """Links of the first round."""
-    home = written(shared.groupBy("cls").agg(F.min("token").alias("token"), F.max("n").alias("n")), "tree-homes")
+    home = staged(shared.groupBy("cls").agg(F.min("token").alias("token"), F.max("n").alias("n")), "tree-homes")
     groups = home.groupBy("token").agg(F.count("*").alias("count"), F.sum("n").alias("tokens"), F.min("cls").alias("pivot")).where("count > 1")
     groups = groups.select("token", "pivot", _blocks(TREE_SIZE))
     own = home.join(groups, "token").select("cls", "token", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
@@ -453,7 +454,7 @@ def _bridges(shared: DataFrame, texts: DataFrame, labels: DataFrame, turn: int)
     best = F.max(F.struct("times", F.xxhash64("pivot_cls", F.lit(turn)).alias("any"), "pivot_cls", "n", "pivot_n")).alias("best")
     pairs = pairs.groupBy("cls").agg(best).select(F.col("cls").alias("a"), F.col("best.pivot_cls").alias("b"), "best.n", F.col("best.pivot_n").alias("m"))
     # Written, the planner knows that these are few, and needs no shuffle of the texts.
-    possible = written(_possible(written(pairs, "tree-pairs"), texts), "tree-pairs")
+    possible = staged(_possible(staged(pairs, "tree-pairs"), texts), "tree-pairs")
     return _confirmed(possible, texts)
 
 
@@ -500,7 +501,7 @@ def _open(shared: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _last_links(opened: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between components, by exact comparison of the open classes of every token."""
-    members = written(_cut(opened, TREE_SIZE // 2), "tree-open").join(texts.select("cls", "text"), "cls").select("token", "i", "j", "cls", "label", "text")
+    members = staged(_cut(opened, TREE_SIZE // 2), "tree-open").join(texts.select("cls", "text"), "cls").select("token", "i", "j", "cls", "label", "text")
 
     def tree(table: pa.Table) -> pa.Table:
         cls, first = np.unique(table.column("cls").to_numpy(), return_index=True)
@@ -538,7 +539,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     component whatever the ids are, null for empty sets; key is its `document_key`."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", document_key())
-    measured = written(_measured(docs), "tree-sets")
+    measured = staged(_measured(docs), "tree-sets")
     frequent = measured.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
     frequent = frequent.orderBy(F.col("times").desc(), "token").limit(MOST_FREQUENT).select("token").collect()
     frequent = np.sort(np.array([r.token for r in frequent], np.int64).astype(np.uint64))
@@ -547,25 +548,25 @@ def near_groups(docs: DataFrame) -> DataFrame:
     buckets = 1 + total // 5 // BUCKET
 
     shipped = spark.sparkContext.broadcast(frequent)
-    found = written(_entries(docs, shipped, buckets).groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, often boolean"), "tree-shared")
+    found = staged(_entries(docs, shipped, buckets).groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, often boolean"), "tree-shared")
     # Several buckets can have tokens of the same classes, and several tasks the classes of a frequent token.
-    shared = written(found.groupBy("token", "cls").agg(F.max("n").alias("n")), "tree-shared")
+    shared = staged(found.groupBy("token", "cls").agg(F.max("n").alias("n")), "tree-shared")
     wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls", "key").agg(F.count("*").alias("times"))
     # The key that fewest rows have; only rows that repeat text and id (or have none) share one.
     wanted = wanted.groupBy("cls").agg(F.min(F.struct("times", "key")).alias("row")).select("cls", "row.key", (F.col("row.times") > 1).alias("repeated"))
-    fetched = written(_texts(docs, wanted), "tree-texts")
+    fetched = staged(_texts(docs, wanted), "tree-texts")
     texts = fetched.where("not repeated").unionByName(fetched.where("repeated").dropDuplicates(["cls"])).drop("repeated")
 
-    links = written(_first_links(shared, texts), "tree-links")
+    links = staged(_first_links(shared, texts), "tree-links")
     labels = components(links)
     for turn in range(BRIDGES):
-        more = written(_bridges(shared, texts, labels, turn), "tree-links")
+        more = staged(_bridges(shared, texts, labels, turn), "tree-links")
         if more.isEmpty():
             break
         links = links.unionByName(more)
         labels = components(links)
-    opened = written(_open(shared, texts, labels), "tree-open")
-    more = written(_last_links(opened, texts), "tree-links")
+    opened = staged(_open(shared, texts, labels), "tree-open")
+    more = staged(_last_links(opened, texts), "tree-links")
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = components(links)
