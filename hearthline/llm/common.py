@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -12,8 +11,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.session import staged
-
 #: Bytes of text that one numpy step works on; a longer text is a slice of its own.
 SLICE_BYTES = 2_000_000
 
@@ -31,19 +28,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def written(rows: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a table of the shared folder; then what the shuffles before it left on the disks goes.
-
-    Spark's cleaner deletes the files of a shuffle once the driver has collected what refers to it. On its own
-    that may come only after the job, and the steps of a long one would add up on the executors' disks.
-    """
-    out = staged(rows, purpose)
-    del rows
-    gc.collect()
-    out.sparkSession.sparkContext._jvm.System.gc()
-    return out
-
-
 def words(text: bytes) -> list[bytes]:
     """Runs of bytes other than space and 0x09-0x0D."""
     return text.split()
@@ -124,7 +108,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     """(doc_id, text, label) of at most `per_class` labelled documents of either class, the same ones each time.
 
     The ids are chosen from the label table alone, by a hash; so the join may broadcast them: there are
-    at most 2 * per_class. Of an id that is labelled twice the smaller label counts.
+    at most 2 * per_class. Of an id that is labelled twice the smaller label counts. Of the rows that repeat
+    an id one text counts, that with the smallest hash; so the result has at most 2 * per_class rows too.
     """
     known = labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
@@ -137,4 +122,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     for r in rows:
         picked[r.doc_id] = min(r.label, picked.get(r.doc_id, r.label))
     ids = docs.sparkSession.createDataFrame(sorted(picked.items()), "doc_id long, label int")
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")

@@ -56,21 +56,23 @@ class LinearChainCRF:
         return states
 
     @staticmethod
-    def train(x: np.ndarray, y: np.ndarray, lengths: np.ndarray, states: int, steps: int = 150, rate: float = 0.2, l2: float = 1e-3) -> LinearChainCRF:
+    def train(x: np.ndarray, y: np.ndarray, lengths: np.ndarray, states: int, steps: int = 150, rate: float = 0.2, l2: float = 1e-3, weight: np.ndarray | None = None) -> LinearChainCRF:
         """Maximum likelihood with a quadratic penalty, by Adam on all sequences at once.
 
-        x: [sequences, longest, features], y: [sequences, longest] states, lengths: items per sequence (1 at least).
+        x: [sequences, longest, features], y: [sequences, longest] states, lengths: items per sequence (1 at least),
+        weight: what each sequence counts (default 1).
         """
         n, longest, d = x.shape
         mask = np.arange(longest)[None] < lengths[:, None]
-        one = np.eye(states)[y] * mask[..., None]
+        counts = mask if weight is None else mask * weight[:, None]
+        one = np.eye(states)[y] * counts[..., None]
         flat = x[mask].astype(np.float32)
         seen_e = flat.T @ one[mask].astype(np.float32)
-        seen_t = one[:, :-1].reshape(-1, states).T @ one[:, 1:].reshape(-1, states)
+        seen_t = (np.eye(states)[y] * mask[..., None])[:, :-1].reshape(-1, states).T @ one[:, 1:].reshape(-1, states)
         seen_s = one[:, 0].sum(axis=0)
         params = [np.zeros((d, states)), np.zeros((states, states)), np.zeros(states)]
         moments = [[np.zeros_like(p), np.zeros_like(p)] for p in params]
-        count = mask.sum()
+        count = counts.sum()
         for step in range(1, steps + 1):
             e, tr, st = params
             s = np.zeros((n, longest, states))
@@ -86,8 +88,8 @@ class LinearChainCRF:
                 onward = tr[None] + (s[:, t + 1] + beta[:, t + 1])[:, None, :]
                 beta[:, t] = np.where(mask[:, t + 1, None], _lse(onward, 2), 0)
                 joint = np.exp(alpha[:, t][:, :, None] + onward - log_z[:, None, None])
-                pair += (joint * mask[:, t + 1, None, None]).sum(axis=0)
-            node = np.exp(alpha + beta - log_z[:, None, None]) * mask[..., None]
+                pair += (joint * counts[:, t + 1, None, None]).sum(axis=0)
+            node = np.exp(alpha + beta - log_z[:, None, None]) * counts[..., None]
             grads = [seen_e - flat.T @ node[mask].astype(np.float32), seen_t - pair, seen_s - node[:, 0].sum(axis=0)]
             for p, g, m in zip(params, grads, moments):
                 g = g / count - l2 * p

@@ -3,7 +3,9 @@
 Base rules reject texts under 50 words and texts of which more than half of the words lie in repeated
 three-word windows. Of the others, the Viterbi path over the lines decides: a text stays if at least
 `least_share` of its words lie in content lines. The field is trained on a bounded sample of labelled
-documents (`per_class` of either label, `train_lines` lines of each), whose lines take the document's label.
+documents (`per_class` of either label, all their lines), whose lines take the document's label. For training the
+lines are cut into stretches of `stretch` lines; the stretches of a document count as one together, so that a
+long document teaches no more than a short one.
 
 Defined cases: null and empty texts have no words and fail the base rules; lines without a word belong to
 no sequence; without labels of both classes every line is content, so the base rules alone decide; repeated
@@ -26,7 +28,7 @@ CONTENT, BOILERPLATE = 0, 1
 FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
 
 
-def train_line_model(docs: DataFrame, labels: DataFrame, per_class: int = 600, train_lines: int = 40) -> LinearChainCRF | None:
+def train_line_model(docs: DataFrame, labels: DataFrame, per_class: int = 600, stretch: int = 40) -> LinearChainCRF | None:
     """The field learnt from labelled documents; None without both labels."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,21 +36,27 @@ def train_line_model(docs: DataFrame, labels: DataFrame, per_class: int = 600, t
             stats = TextStats(*buffers(text))
             x, label = stats.line_features(), batch.column("label").to_numpy(zero_copy_only=False)
             begin = np.cumsum(stats.n_lines) - stats.n_lines
-            rows = [(int(y), x[a : a + min(n, train_lines)].ravel()) for y, a, n in zip(label, begin, stats.n_lines) if n]
+            rows = [(int(y), x[a : a + n].ravel()) for y, a, n in zip(label, begin, stats.n_lines) if n]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.float64()))], ["label", "x"])
 
     sample = labelled_sample(docs, labels, "quality", per_class).mapInArrow(features, "label int, x array<double>").collect()
     sample.sort(key=lambda r: (r.label, r.x))
     if len({r.label for r in sample}) < 2:
         return None
-    sequences = [np.array(r.x).reshape(-1, N_LINE_FEATURES) for r in sample]
+    sequences, label, weight = [], [], []
+    for r in sample:
+        lines = np.array(r.x).reshape(-1, N_LINE_FEATURES)
+        cut = [lines[i : i + stretch] for i in range(0, len(lines), stretch)]
+        sequences += cut
+        label += [CONTENT if r.label else BOILERPLATE] * len(cut)
+        weight += [1 / len(cut)] * len(cut)
     lengths = np.array([len(s) for s in sequences])
     x = np.zeros((len(sequences), lengths.max(), N_LINE_FEATURES))
     y = np.zeros(x.shape[:2], int)
     for i, s in enumerate(sequences):
         x[i, : len(s)] = s
-        y[i, : len(s)] = CONTENT if sample[i].label else BOILERPLATE
-    return LinearChainCRF.train(x, y, lengths, 2)
+        y[i, : len(s)] = label[i]
+    return LinearChainCRF.train(x, y, lengths, 2, weight=np.array(weight))
 
 
 def judge(stats: TextStats, model: LinearChainCRF | None, least_share: float) -> dict[str, np.ndarray]:

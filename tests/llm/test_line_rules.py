@@ -3,10 +3,13 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from hearthline.llm.common import buffers, labelled_sample
 from hearthline.llm.crf import LinearChainCRF
-from hearthline.llm.line_rules import line_rules
+from hearthline.llm.line_rules import BOILERPLATE, line_rules, train_line_model
+from hearthline.llm.text_stats import TextStats
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -46,6 +49,20 @@ def test_verdict_agrees_with_held_labels(spark, small):
     assert all(k for k, q in odd if q)
 
 
+def test_learns_from_all_lines_of_long_documents(spark):
+    """Junk that stands behind 200 lines of prose only; copies of an id don't reach the driver."""
+    good = "\n".join(f"The river runs past house number {i} and on to the quiet sea." for i in range(200))
+    junk = "\n".join(f"$$ BUY ### {i} && >>> *** |||" for i in range(200))
+    docs = [(i, good.replace("river", f"river{i}")) for i in range(6)] + [(i, good.replace("sea", f"lake{i}") + "\n" + junk) for i in range(6, 12)] + [(3, good)] * 50
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i < 6)) for i in range(12)], "doc_id long, quality int")
+    model = train_line_model(docs, labels)
+    stats = TextStats(*buffers(pa.array([junk, good], pa.large_string())))
+    states = model.viterbi(model.scores(stats.line_features()), np.array([0, 200]))
+    assert (states[:200] == BOILERPLATE).all()
+    assert labelled_sample(docs, labels, "quality", 5).count() == 10
+
+
 def test_odd_documents(spark, odd, small):
     from tests.llm.conftest import odd_rows
 
