@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Statements in here remove their shuffle files when they end."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before else spark.conf.unset(SHUFFLE_CLEANUP)
+
+
 def staged(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows as a table written to the shared folder.
 
@@ -51,10 +64,24 @@ def staged(rows: DataFrame, purpose: str) -> DataFrame:
     """
     spark = rows.sparkSession
     path = shared_dir(spark, purpose)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with _shuffles_removed(spark):
         rows.write.parquet(path)
-    finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before) if before else spark.conf.unset(SHUFFLE_CLEANUP)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def staged_in_buckets(rows: DataFrame, purpose: str, key: str, buckets: int) -> Iterator[DataFrame]:
+    """The rows as a table in the shared folder, in buckets of `key`: a join on the key leaves them where they are.
+
+    For wide rows that several joins need. The rows should be partitioned by `key` into as many partitions, so that
+    every bucket is one file. The bucketing is known to the catalog only, where the table has a name until the end of
+    the context; all that reads it has to be written by then. The files stay, as those of `staged`.
+    """
+    spark = rows.sparkSession
+    name = f"{purpose.replace('-', '_')}_{uuid.uuid4().hex}"
+    with _shuffles_removed(spark):
+        rows.write.bucketBy(buckets, key).option("path", shared_dir(spark, purpose)).saveAsTable(name, format="parquet")
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
