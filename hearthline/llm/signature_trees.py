@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from hearthline.llm.common import SPACE, buffers, mix64, slices
 from hearthline.llm.components import components
-from hearthline.session import staged
+from hearthline.session import staged, staged_in_buckets
 
 SHINGLE = 5
 TREE_SIZE, TREE_TOKENS = 256, 4_000_000
@@ -393,19 +393,23 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table(dict(zip(["token", "cls", "n", "often"], columns)))
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, marks, text, repeated) of the wanted (key, cls, repeated), a row per document with the key; marks: the
-    bitmap of the set."""
+def _texts(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
+    """(cls, marks, text) of the wanted (key, cls, repeated), partitioned by cls; marks: the bitmap of the set. Rows that
+    repeat a key are thinned to one a task before they move."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = set()
         for batch, column in slices(batches):
             sets = Sets(column)
             own = np.flatnonzero(sets.numbers() == batch.column("cls").to_numpy())
+            cls, repeated = (batch.column(c).to_pylist() for c in ("cls", "repeated"))
+            own = [i for i in own.tolist() if not repeated[i] or (cls[i] not in sent and not sent.add(cls[i]))]
             marks = [packed_marks(sets[i]) for i in own]
-            cls, repeated = (batch.column(c).take(pa.array(own)) for c in ("cls", "repeated"))
-            yield pa.RecordBatch.from_arrays([cls, pa.array(marks, pa.binary()), column.take(pa.array(own)).cast(pa.string()), repeated], ["cls", "marks", "text", "repeated"])
+            at = pa.array(own, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("cls").take(at), pa.array(marks, pa.binary()), column.take(at).cast(pa.string())], ["cls", "marks", "text"])
 
-    return docs.join(wanted, "key").select("cls", "text", "repeated").mapInArrow(run, "cls long, marks binary, text string, repeated boolean")
+    found = docs.join(wanted, "key").select("cls", "text", "repeated").mapInArrow(run, "cls long, marks binary, text string")
+    return found.repartition(buckets, "cls").dropDuplicates(["cls"])
 
 
 def _blocks(size: int) -> F.Column:
@@ -453,11 +457,21 @@ def _bridges(shared: DataFrame, texts: DataFrame, labels: DataFrame, turn: int)
     pairs = pairs.groupBy("cls", "pivot_cls", "n", "pivot_n").agg(F.count("*").alias("times"))
     best = F.max(F.struct("times", F.xxhash64("pivot_cls", F.lit(turn)).alias("any"), "pivot_cls", "n", "pivot_n")).alias("best")
     pairs = pairs.groupBy("cls").agg(best).select(F.col("cls").alias("a"), F.col("best.pivot_cls").alias("b"), "best.n", F.col("best.pivot_n").alias("m"))
-    # Written, the planner knows that these are few, and needs no shuffle of the texts.
+    # Written, the planner knows how few these are.
     possible = staged(_possible(staged(pairs, "tree-pairs"), texts), "tree-pairs")
     return _confirmed(possible, texts)
 
 
+def _both(pairs: DataFrame, texts: DataFrame, value: str) -> DataFrame:
+    """The pairs (a, b) with the value of a as `one` and of b as `two`. Many pairs may have one b: so a is joined where
+    its bucket lies, and the values of all b are a table of their own, which is broadcast if small and else may be
+    split where a b is frequent."""
+    ends = pairs.select(F.col("b").alias("cls")).distinct()
+    two = staged(texts.join(ends, "cls", "left_semi").select(F.col("cls").alias("b"), F.col(value).alias("two")), "tree-pivots")
+    one = texts.select(F.col("cls").alias("a"), F.col(value).alias("one"))
+    return pairs.join(one, "a").join(two, "b")
+
+
 def _possible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of (a, b, n, m) whose bitmaps allow a link."""
 
@@ -467,9 +481,7 @@ def _possible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             good = pa.array([may_link(*row) for row in zip(*columns)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
-    one = texts.select(F.col("cls").alias("a"), F.col("marks").alias("one"))
-    two = texts.select(F.col("cls").alias("b"), F.col("marks").alias("two"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "one", "two").mapInArrow(run, "a long, b long")
+    return _both(pairs, texts, "marks").select("a", "b", "n", "m", "one", "two").mapInArrow(run, "a long, b long")
 
 
 def _cut(rows: DataFrame, size: int) -> DataFrame:
@@ -514,14 +526,27 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs that are links, by their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, column in slices(batches, "text_a"):
-            one, two = Sets(column), Sets(batch.column("text_b").cast(pa.large_string()))
+        for batch, column in slices(batches, "one"):
+            one, two = Sets(column), Sets(batch.column("two").cast(pa.large_string()))
             good = pa.array([enough(overlap(a, b), len(a), len(b)) for a, b in zip(one, two)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(good), batch.column("b").filter(good)], ["a", "b"])
 
-    one = texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return _both(pairs, texts, "text").select("a", "b", "one", "two").mapInArrow(run, "a long, b long")
+
+
+def _labels(shared: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, label): the component of every class that has a link, by the three steps."""
+    links = staged(_first_links(shared, texts), "tree-links")
+    labels = components(links)
+    for turn in range(BRIDGES):
+        more = staged(_bridges(shared, texts, labels, turn), "tree-links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = components(links)
+    opened = staged(_open(shared, texts, labels), "tree-open")
+    more = staged(_last_links(opened, texts), "tree-links")
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def document_key() -> F.Column:
@@ -554,22 +579,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls", "key").agg(F.count("*").alias("times"))
     # The key that fewest rows have; only rows that repeat text and id (or have none) share one.
     wanted = wanted.groupBy("cls").agg(F.min(F.struct("times", "key")).alias("row")).select("cls", "row.key", (F.col("row.times") > 1).alias("repeated"))
-    fetched = staged(_texts(docs, wanted), "tree-texts")
-    texts = fetched.where("not repeated").unionByName(fetched.where("repeated").dropDuplicates(["cls"])).drop("repeated")
-
-    links = staged(_first_links(shared, texts), "tree-links")
-    labels = components(links)
-    for turn in range(BRIDGES):
-        more = staged(_bridges(shared, texts, labels, turn), "tree-links")
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        labels = components(links)
-    opened = staged(_open(shared, texts, labels), "tree-open")
-    more = staged(_last_links(opened, texts), "tree-links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = components(links)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with staged_in_buckets(_texts(docs, wanted, buckets), "tree-texts", "cls", buckets) as texts:
+        labels = _labels(shared, texts)
 
     least = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     least = least.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
