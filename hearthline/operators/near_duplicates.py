@@ -59,6 +59,14 @@ def _with_key(events: DataFrame, case_insensitive: bool) -> DataFrame:
     return events.withColumn("_key", token_sort_key(F.col("Status"), case_insensitive))
 
 
+def _by_merge(rows: DataFrame) -> DataFrame:
+    """For joins with a table that grows with the events: it is never broadcast.
+
+    The planner goes by the size of files, and similar texts take far less room there than in memory.
+    """
+    return rows.hint("merge")
+
+
 def _mixed_blocks(rows: DataFrame, block: Sequence[str], text: str) -> DataFrame:
     """Blocks with at least two values of `text`; the extremes combine on the map side."""
     return (
@@ -80,7 +88,7 @@ def first_keys_per_device(keyed: DataFrame, block: Sequence[str], order: Sequenc
     There are few keys per device, so grouping thins the rows out first.
     """
     firsts = staged(_first_arrivals(keyed, [*block, "_key"], order), "first-keys")
-    return firsts.join(_mixed_blocks(firsts, block, "_key"), list(block), "left_semi")
+    return firsts.join(_by_merge(_mixed_blocks(firsts, block, "_key")), list(block), "left_semi")
 
 
 def _gram_rows(keys: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
@@ -98,7 +106,7 @@ def _chunk_rows(keys: DataFrame, grams: DataFrame, block: Sequence[str], thresho
     holders = grams.groupBy(*block, "_gram").agg(F.count("*").alias("_holders"))
     chunks = keys.select(*block, "_key", "_first", F.explode(key_chunks(F.col("_key"), threshold)).alias("_gram"))
     ranked = (
-        chunks.join(holders, [*block, "_gram"])
+        chunks.join(_by_merge(holders), [*block, "_gram"])
         .groupBy(*block, "_key", "_first")
         .agg(F.sort_array(F.collect_list(F.struct("_holders", "_gram"))).alias("_ranked"))
     )
@@ -141,7 +149,7 @@ def _salted_join(
     names = {c: f"_right_{c}" for c in by}
     renamed = copied.repartition(n, *by).withColumnsRenamed(names)
     same = reduce(lambda x, y: x & y, [F.col(c) == F.col(name) for c, name in names.items()])
-    return spread.repartition(n, *by).join(renamed, same & condition, how)
+    return spread.repartition(n, *by).join(_by_merge(renamed), same & condition, how)
 
 
 def _similar_pairs(keys: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
@@ -190,7 +198,7 @@ def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads
 
     last_head = F.array_max(F.transform("_heads", lambda h: h["_first"]))
     judged = staged(
-        firsts.join(leading, list(block)).select(
+        firsts.join(_by_merge(leading), list(block)).select(
             *block,
             "_key",
             "_first",
@@ -204,7 +212,7 @@ def losing_keys(firsts: DataFrame, block: Sequence[str], threshold: float, heads
     unsettled = judged.where(is_open).select(*block).distinct()
     if unsettled.isEmpty():
         return lost
-    crowded = judged.join(unsettled, list(block), "left_semi")
+    crowded = judged.join(_by_merge(unsettled), list(block), "left_semi")
     late = staged(_beaten(crowded, is_open, block, threshold), "late-keys")
     return lost.unionByName(late)
 
@@ -218,12 +226,12 @@ def lost_events(exact: DataFrame, threshold: float, case_insensitive: bool, orde
     block = block_columns()
     crowded = exact.groupBy(*block).agg(F.count("*").alias("_rows")).where(F.col("_rows") > 1).select(*block)
     narrow = _with_key(exact.select(*dict.fromkeys([*block, "Status", *order])), case_insensitive)
-    mixed = staged(narrow.join(crowded, block, "left_semi"), "mixed-blocks")
+    mixed = staged(narrow.join(_by_merge(crowded), block, "left_semi"), "mixed-blocks")
     if mixed.isEmpty():
         return None
     firsts = staged(_first_arrivals(mixed, [*block, "_key"], order), "first-keys")
     later = mixed.withColumn("_rn", F.row_number().over(Window.partitionBy(*block, "_key").orderBy(*order))).where(F.col("_rn") > 1)
-    similar = mixed.join(losing_keys(firsts, block, threshold), [*block, "_key"], "left_semi")
+    similar = mixed.join(_by_merge(losing_keys(firsts, block, threshold)), [*block, "_key"], "left_semi")
     return staged(later.select(*IDENTITY).unionByName(similar.select(*IDENTITY)).distinct(), "lost-events")
 
 
@@ -256,7 +264,7 @@ def drop_near_duplicates(
     keyed = _with_key(exact, case_insensitive)
     kept = first_n_per(keyed, [*block, "_key"], order, 1)
     firsts = first_keys_per_device(keyed, block, order)
-    return kept.join(losing_keys(firsts, block, threshold), [*block, "_key"], "left_anti").select(*events.columns)
+    return kept.join(_by_merge(losing_keys(firsts, block, threshold)), [*block, "_key"], "left_anti").select(*events.columns)
 
 
 def candidate_pairs(
@@ -278,12 +286,12 @@ def candidate_pairs(
     by = [*block, "_key", "_text"]
     if match_timestamp:
         mixed = staged(_mixed_blocks(keyed, block, "Status"), "mixed-blocks")
-        spelled = spelled.join(mixed, block, "left_semi")
+        spelled = spelled.join(_by_merge(mixed), block, "left_semi")
     texts = staged(_first_arrivals(spelled, by, order), "first-texts")
     firsts = texts.groupBy(*block, "_key").agg(F.min("_first").alias("_first"))
     spellings = (
         texts.select(*block, "_key", F.col("_first").alias("_right"))
-        .join(firsts.withColumnRenamed("_first", "_left"), [*block, "_key"])
+        .join(_by_merge(firsts.withColumnRenamed("_first", "_left")), [*block, "_key"])
         .where(F.col("_left.Status") != F.col("_right.Status"))
         .select(*block, "_left", "_right", F.lit(100.0).alias("status_fuzzy"))
     )

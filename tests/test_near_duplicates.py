@@ -130,3 +130,12 @@ def test_candidate_pairs_across_times(bronze):
     rows = bronze(("d1", AT, WM, "Program Start"), ("d1", "2024-01-02T10:00:00Z", WM, "Program Starts"))
     (pair,) = candidate_pairs(rows, match_timestamp=False).collect()
     assert (pair.left_status, pair.right_status, pair.timestamp_exact) == ("Program Start", "Program Starts", 0)
+
+
+def test_joins_of_candidate_pairs_broadcast_nothing(bronze, capsys):
+    """Files of similar texts are small, and their rows are many: the size on disk would have them broadcast."""
+    rows = random_events(10, 100, 3, 2, ["program", "start", "end"])
+    for timed in (True, False):
+        candidate_pairs(bronze(*rows), match_timestamp=timed).explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
