@@ -107,8 +107,23 @@ def replay_counts(table: DataFrame) -> DataFrame:
     return counts.withColumn("cumulative_rows", F.sum("batch_rows").over(upto))
 
 
-def replay_samples(table: DataFrame, batch_id: int, prefix: str = "syn_", n: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Previews of a batch state: up to `n` events without and with the device-id prefix."""
-    state = as_of_batch(table, batch_id)
+def replay_samples(
+    table: DataFrame, batch_id: int | DataFrame, prefix: str = "syn_", n: int = 2
+) -> tuple[DataFrame, DataFrame]:
+    """Previews of a batch state: up to `n` events without and with the device-id prefix.
+
+    With a table of batch numbers, the previews of all these states, which `_state` tells apart: the table is
+    read once per kind. Its first `n` events of a kind by batch hold a preview of every state, namely those
+    among them that the state has, as a state with fewer than `n` has all of its events among them.
+    """
     prefixed = F.coalesce(F.col("DeviceId").startswith(prefix), F.lit(False))
-    return state.where(~prefixed).limit(n), state.where(prefixed).limit(n)
+    if isinstance(batch_id, int):
+        state = as_of_batch(table, batch_id)
+        return state.where(~prefixed).limit(n), state.where(prefixed).limit(n)
+    states = batch_id.select(F.col(BATCH).alias("_state")).distinct()
+
+    def previews(rows: DataFrame) -> DataFrame:
+        first = rows.where(F.col(BATCH).isNotNull()).orderBy(BATCH).limit(n)
+        return states.join(F.broadcast(first), F.col(BATCH) <= F.col("_state"))
+
+    return previews(table.where(~prefixed)), previews(table.where(prefixed))

@@ -574,10 +574,20 @@ def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replay_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of the two previews after every third batch: which rows they show is free."""
     table, parts = _batch_table(spark, sf_dir), []
-    for batch in [r[0] for r in tables.list_batches(table).collect()][::3]:
-        for kind, rows in zip(("plain", "prefixed"), tables.replay_samples(table, batch, n=500)):
-            counted = rows.agg(F.count("*").alias("rows"), F.count_if(F.col("DeviceId").startswith("syn_")).alias("prefixed_rows"))
-            parts.append(counted.select(F.lit(batch).cast("long").alias("_batch_id"), F.lit(kind).alias("preview"), "rows", "prefixed_rows"))
+    numbered = tables.list_batches(table).withColumn("_i", F.row_number().over(Window.orderBy(tables.BATCH)) - 1)
+    batches = staged(numbered.where("_i % 3 = 0").select(tables.BATCH), "batches")
+    for kind, rows in zip(("plain", "prefixed"), tables.replay_samples(table, batches, n=500)):
+        sizes = rows.groupBy("_state").agg(
+            F.count("*").alias("rows"), F.count_if(F.col("DeviceId").startswith("syn_")).alias("prefixed_rows")
+        )
+        counted = batches.join(sizes, F.col(tables.BATCH) == F.col("_state"), "left")
+        parts.append(
+            counted.select(
+                F.col(tables.BATCH).cast("long").alias(tables.BATCH),
+                F.lit(kind).alias("preview"),
+                *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("rows", "prefixed_rows")],
+            )
+        )
     return ordering.concatenated(parts)
 
 

@@ -41,6 +41,21 @@ def test_batches(spark, bronze, tmp_path):
     assert "PartitionFilters: [isnotnull(_batch_id" in plan
 
 
+def test_previews_of_many_states(spark, bronze, tmp_path):
+    """One read for all states gives the sizes that one call per state gives, of rows that the state has."""
+    path = str(tmp_path / "t")
+    tables.write_batches(batch_rows(bronze).where("_pos <> 1 and _pos <> 3"), path)
+    table = tables.read_table(spark, path)
+    states = spark.range(-1, 4).withColumnRenamed("id", "_batch_id")
+    for n in (1, 2, 3, 50):
+        many = tables.replay_samples(table, states, n=n)
+        for batch in range(-1, 4):
+            for one, rows in zip(tables.replay_samples(table, batch, n=n), many):
+                shown = rows.where(F.col("_state") == batch).collect()
+                assert len(shown) == len({r._pos for r in shown}) == one.count()
+                assert {r._pos for r in shown} <= {r._pos for r in tables.replay_samples(table, batch, n=50)[rows is many[1]].collect()}
+
+
 def test_empty_and_optional_tables(spark, bronze, tmp_path):
     tables.create_table(spark, str(tmp_path / "e"), BRONZE)
     assert tables.read_table(spark, str(tmp_path / "e"), BRONZE).count() == 0
