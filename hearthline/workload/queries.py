@@ -214,10 +214,16 @@ def restrict_to_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_name_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token-sort similarity of every part name to the name with the next key, in both letter modes."""
+    """Token-sort similarity of every part name to the name with the next key, in both letter modes.
+
+    The number of partitions is fixed: merged by their size, which is small, they would leave the comparisons
+    to few tasks; and neither side is broadcast, as both grow.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     part = load(spark, sf_dir, "part").select("p_partkey", "p_name")
     following = part.select((F.col("p_partkey") - 1).alias("p_partkey"), F.upper("p_name").alias("next_name"))
-    return part.join(following, "p_partkey").select(
+    pairs = part.repartition(n, "p_partkey").join(following.repartition(n, "p_partkey").hint("merge"), "p_partkey")
+    return pairs.select(
         "p_partkey",
         F.round(token_sort_ratio(F.col("p_name"), F.col("next_name")), 6).alias("score"),
         F.round(token_sort_ratio(F.col("p_name"), F.col("next_name"), False), 6).alias("raw_score"),

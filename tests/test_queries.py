@@ -40,3 +40,8 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_part_names_are_compared_in_many_tasks(spark):
+    rows = QUERIES["part_name_similarity"](spark, SF_DIR)
+    assert rows.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
