@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthline.sources.byte_ranges import RANGE_BYTES, RANGES, STEP, byte_ranges, files_of, open_file, steps, tasks_for
+from hearthline.sources.byte_ranges import RANGE_BYTES, RANGES, STEP, byte_ranges, files_of, open_file, steps, steps_from, tasks_for
 
 _QUOTE, _BREAK = ord('"'), ord("\n")
 
@@ -27,7 +27,7 @@ def _records(file: pa.NativeFile, size: int, start: int, end: int, inside: bool)
     # A record that begins with the range is announced by the break before it.
     begin = max(0, start - 1)
     quotes = int(inside)
-    for offset, raw in steps(file, begin, size):
+    for offset, raw in steps_from(file, begin, end, size):
         signs = np.flatnonzero((raw == _QUOTE) | (raw == _BREAK))
         is_quote = raw[signs] == _QUOTE
         open_quotes = (np.cumsum(is_quote) + quotes) % 2
@@ -63,15 +63,16 @@ def csv_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES)
                     quotes.append(sum(int((raw == _QUOTE).sum()) for _, raw in steps(file, before, end)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(quotes, pa.int64())], [*batch.schema.names, "quotes"])
 
-    counted = byte_ranges(files, range_bytes).mapInArrow(count, RANGES + ", quotes long")
+    tasks = tasks_for(files, range_bytes)
+    counted = byte_ranges(files, range_bytes, tasks).mapInArrow(count, RANGES + ", quotes long")
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     inside = (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside")
-    starts = counted.select("file", "size", "start", inside).repartition(tasks_for(files, range_bytes))
+    starts = counted.select("file", "size", "start", inside).repartition(tasks)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
             for r in batch.to_pylist():
-                rows, held = [], 0
                 with open_file(r["file"]) as file:
                     for pos, text in _records(file, r["size"], r["start"], min(r["size"], r["start"] + range_bytes), r["inside"]):
                         text = text.removesuffix(b"\r")
@@ -81,7 +82,7 @@ def csv_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES)
                         if held > 4 * STEP:
                             yield pack(rows)
                             rows, held = [], 0
-                yield pack(rows)
+        yield pack(rows)
 
     def pack(rows: list[tuple]) -> pa.RecordBatch:
         kinds = pa.string(), pa.int64(), pa.string()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.operators.records import NOT_AN_ARRAY, NOT_JSON_FILE
-from hearthline.sources.byte_ranges import RANGE_BYTES, RANGES, STEP, byte_ranges, files_of, open_file, steps, tasks_for
+from hearthline.sources.byte_ranges import RANGE_BYTES, RANGES, STEP, byte_ranges, files_of, open_file, steps, steps_from, tasks_for
 
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2
 _QUOTE, _BACKSLASH, _COMMA = ord('"'), ord("\\"), ord(",")
@@ -141,7 +141,7 @@ def _elements(file: pa.NativeFile, size: int, start: int, end: int, state: int,
     """(offset, text) of the elements whose opening comma or root bracket lies in [start, end)."""
     parts: list[bytes] | None = None
     opened, first_of_array = 0, False
-    for offset, raw in steps(file, start, size):
+    for offset, raw in steps_from(file, start, end, size):
         at, state = _outside(raw, state)
         change = _DEPTH[raw[at]].astype(np.int64)
         after = depth + np.cumsum(change)
@@ -178,17 +178,18 @@ def array_range_records(spark: SparkSession, path: str | list[str], ingested_at:
     Bytes that are no UTF-8 become U+FFFD.
     """
     files = files_of(spark, path)
-    summaries = _summaries(byte_ranges(files, range_bytes), range_bytes)
-    starts = summaries.groupBy("file").applyInArrow(_composed, STATES).repartition(tasks_for(files, range_bytes))
+    tasks = tasks_for(files, range_bytes)
+    summaries = _summaries(byte_ranges(files, range_bytes, tasks), range_bytes)
+    starts = summaries.groupBy("file").applyInArrow(_composed, STATES).repartition(tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
             for r in batch.to_pylist():
                 if r["error"]:
                     if r["start"] == 0:
-                        yield pack([(None, r["file"], 0, r["error"])])
+                        rows.append((None, r["file"], 0, r["error"]))
                     continue
-                rows, held = [], 0
                 with open_file(r["file"]) as file:
                     for pos, text in _elements(file, r["size"], r["start"], min(r["size"], r["start"] + range_bytes), r["state"], r["depth"]):
                         rows.append((text.decode("utf-8", "replace"), r["file"], pos, None))
@@ -196,7 +197,7 @@ def array_range_records(spark: SparkSession, path: str | list[str], ingested_at:
                         if held > 4 * STEP:
                             yield pack(rows)
                             rows, held = [], 0
-                yield pack(rows)
+        yield pack(rows)
 
     def pack(rows: list[tuple]) -> pa.RecordBatch:
         kinds = pa.string(), pa.string(), pa.int64(), pa.string()

@@ -68,3 +68,19 @@ def test_one_file_is_work_for_many_tasks(spark, tmp_path):
 def test_header_only(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b,c\n\n")
     assert read_csv(spark, str(tmp_path / "t.csv"), SCHEMA, 3).collect() == []
+
+
+def test_little_is_read_behind_a_range(tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b,c\n" + '1,"x\ny",z\n' * 100_000)
+    read = []
+
+    class Counting:
+        def read_at(self, length, offset):
+            read.append(length)
+            return file.read_at(length, offset)
+
+    with byte_ranges.open_file(f"file://{path}") as file:
+        found = list(_records(Counting(), file.size(), 0, 1000, False))
+    assert len(found) > 80 and {text for pos, text in found if pos} == {b'1,"x\ny",z'}
+    assert sum(read) <= 1000 + byte_ranges.FIRST_BEYOND
