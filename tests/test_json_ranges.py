@@ -161,3 +161,23 @@ def test_line_positions_at_any_reader_setting(spark, tmp_path, split_bytes, part
     assert len({(r._source_file, r._pos) for r in rows}) == len(rows) == 10_000
     for name in ("a", "b"):
         assert [r.DeviceId for r in sorted((r for r in rows if r._source_file.endswith(name)), key=lambda r: r._pos)] == [str(i) for i in range(5000)]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Every task costs a start: there are as many as cores and bytes call for, not as many as ranges."""
+    path = write(tmp_path, json.dumps([{"DeviceId": str(i)} for i in range(2000)]))
+    files = byte_ranges.files_of(spark, path)
+    assert byte_ranges.tasks_for(files, 10) == byte_ranges.FEWEST_TASKS
+    assert byte_ranges.tasks_for(files, 1 << 20) == 1
+
+
+def test_little_is_read_behind_a_range(tmp_path, monkeypatch):
+    path = write(tmp_path, json.dumps(["x" * 20] * 100_000))
+    seen = []
+    structure = json_ranges._outside
+    monkeypatch.setattr(json_ranges, "_outside", lambda raw, state: seen.append(len(raw)) or structure(raw, state))
+    with byte_ranges.open_file(f"file://{path}") as file:
+        size = file.size()
+        found = list(json_ranges._elements(file, size, 0, 1000, OUTSIDE, 0))
+    assert [t for _, t in found] == [b'"' + b"x" * 20 + b'"'] * len(found) and len(found) > 40
+    assert sum(seen) <= 1000 + byte_ranges.FIRST_BEYOND
