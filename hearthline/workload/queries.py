@@ -600,7 +600,8 @@ def replay_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every table that a run from message lines to gold leaves."""
     source, output = shared_dir(spark, "messages"), shared_dir(spark, "lake")
-    messages(spark, sf_dir).orderBy("_pos").select(F.col("message").alias("value")).coalesce(1).write.text(source)
+    # The files' names follow the order, in which arrivals are compared.
+    messages(spark, sf_dir).orderBy("_pos").select(F.col("message").alias("value")).write.text(source)
     result = run_layers(spark, source, output, batch_id=1, ingested_at=PROCESSED_AT, processed_at=PROCESSED_AT, layout="lines")
     counts = {"bronze": result.bronze.rows_written, "silver": result.silver.rows_out, **result.gold.rows_by_table}
     counts |= {"unknown_types": result.gold.unknown_types, "alerts": len(result.alerts)}

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
+from hearthline.workload import queries
+from hearthline.workload.device_events import messages
 from hearthline.workload.oracle import ORACLE
 from hearthline.workload.queries import QUERIES
 
@@ -45,3 +47,24 @@ def test_entry(spark):
 def test_part_names_are_compared_in_many_tasks(spark):
     rows = QUERIES["part_name_similarity"](spark, SF_DIR)
     assert rows.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_message_lines_are_sorted_by_many_tasks(spark, monkeypatch):
+    """The lines lie in several files, whose names follow the order of arrival."""
+    found = []
+
+    def run(spark, source, *args, **kwargs):
+        for name in sorted(f for f in os.listdir(source) if f.startswith("part-")):
+            with open(f"{source}/{name}") as file:
+                found.append(file.read().splitlines())
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "run_layers", run)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with pytest.raises(InterruptedError):
+            QUERIES["layers_end_to_end"](spark, SF_DIR)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(found) > 1
+    assert [line for lines in found for line in lines] == [r.message for r in messages(spark, SF_DIR).orderBy("_pos").collect()]
