@@ -40,11 +40,27 @@ BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{BLANK}\p{{L}}\p{{N}}]+")
 
 
+# What Unicode 16 added to letters and numbers, which the tokenizers library knows and Python's tables may not.
+LETTERS_16 = (
+    "\u1c89-\u1c8a\ua7cb-\ua7cd\ua7da-\ua7dc\U000105c0-\U000105f3\U00010d40-\U00010d65\U00010d6f-\U00010d85"
+    "\U00010ec2-\U00010ec4\U00011380-\U00011389\U0001138b\U0001138e\U00011390-\U000113b5\U000113b7\U000113d1\U000113d3"
+    "\U000116d0-\U000116e3\U00011bc0-\U00011be0\U00011bf0-\U00011bf9\U00013460-\U000143fa\U00016100-\U0001611d"
+    "\U00016130-\U00016139\U00016d40-\U00016d6c\U00016d70-\U00016d79\U00018cff\U0001ccf0-\U0001ccf9\U0001e5d0-\U0001e5ed"
+    "\U0001e5f0-\U0001e5fa"
+)
+# Capitals up to Unicode 17, all of which the library lower-cases: first, last, step, distance to the small letter.
+CAPITALS_17 = [
+    (0x1C89, 0x1C89, 1, 1), (0xA7CB, 0xA7CB, 1, 0x264 - 0xA7CB), (0xA7CC, 0xA7CE, 2, 1), (0xA7D2, 0xA7D4, 2, 1), (0xA7DA, 0xA7DA, 1, 1),
+    (0xA7DC, 0xA7DC, 1, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 1, 0x20), (0x16EA0, 0x16EB8, 1, 0x1B),
+]
+NEWER_SMALL = {c: c + by for first, last, step, by in CAPITALS_17 for c in range(first, last + 1, step)}
+
+
 @lru_cache(1)
 def newer_letters() -> set[str]:
-    """Letters and numbers that the regex module knows and Python's tables, as old as the tokenizer's, don't."""
+    """Letters and numbers that the regex module knows and the tokenizers library, with the tables of Unicode 16, doesn't."""
     unknown = "".join(c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Cn")
-    return set(regex.findall(r"[\p{L}\p{N}]", unknown))
+    return set(regex.findall(rf"[\p{{L}}\p{{N}}--[{LETTERS_16}]]", unknown, regex.V1))
 
 
 def cut(text: str) -> list[str]:
@@ -208,7 +224,8 @@ class Vocabulary:
             at, special = min((word.find(s), s) for s in self.specials if s in word)
             return [*self.parts(word[:at]), self.specials[special], *self.parts(word[at + len(special) :])]
         plain = word if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ")
-        return cut(plain.lower())
+        low = plain.lower()
+        return cut(low if low.isascii() else low.translate(NEWER_SMALL))
 
     def decode(self, ids: list[int]) -> str:
         """The file names no decoder, so tokens are joined by a space."""

@@ -1,6 +1,8 @@
 import hashlib
+import unicodedata
 
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -33,6 +35,14 @@ def test_edges(text):
     assert encode(text) == expected(text)
 
 
+def test_newer_letters():
+    """Characters that Python's tables don't hold: letters, numbers and capitals as the library has them."""
+    unassigned = [c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Cn"]
+    texts = [f":{c}a" for c in unassigned if regex.match(r"[\p{L}\p{N}]", c)] + [":\U00013460", "A\ua7ceb", "\U00010d50x:", "\u1c89", "1\U00016130"]
+    for text, ids in zip(texts, LIBRARY.encode_batch(texts, add_special_tokens=False)):
+        assert encode(text) == ids.ids, ascii(text)
+
+
 def test_speculation_is_verified():
     """Among real words some greedy proposals are wrong, and all of these are caught."""
     pieces = ["unbelievable", "internationalisation", "nstththan", "ereading", "ththtion", "hello", "onouering"]
