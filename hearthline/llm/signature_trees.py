@@ -4,7 +4,9 @@ A document's set holds the 64-bit hashes of its distinct five-word shingles. Doc
 class, and only classes are compared. Two sets that are similar enough share a token among the first
 n - ceil(0.8 n) + 1 of each in any common order (the prefix filter); the order used here puts tokens that are
 frequent within a map task last, so that common lines and passages seldom lead anyone together. The frequent
-tokens are a bounded list (`MOST_FREQUENT`), and whatever is on it, the result is the same.
+tokens are a bounded list (`MOST_FREQUENT`), and whatever is on it, the result is the same. Prefixes longer by
+k - 1 tokens have k tokens in common, or all that similar sets must have; so a class with fewer tokens there that
+any other class has is similar to none, and its text never moves.
 
 Classes that share a prefix token meet in a signature tree: a leaf holds a class's bitmap of tokens and its
 size, a node the OR of its children's bitmaps and the range of their sizes. Trees are traversed in pairs from
@@ -53,6 +55,8 @@ TREE_SIZE, TREE_TOKENS = 256, 4_000_000
 MARKED_SIZE, BRIDGES = 2048, 3
 #: A token counts as frequent from so many sets within CHUNK tokens of a task; so many tokens are listed.
 FREQUENT, CHUNK, MOST_FREQUENT = 4, 2_000_000, 100_000
+#: So many tokens similar sets share in their prefixes; each costs a token more per prefix.
+LEAST_SHARED = 4
 #: Prefix tokens per bucket of the search for shared ones.
 BUCKET = 1_000_000
 
@@ -155,25 +159,26 @@ def overlap(one: np.ndarray, two: np.ndarray) -> int:
     return int((two[at] == one).sum())
 
 
-def prefix(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens that lead to every similar set, and which of them are frequent."""
+def prefix(tokens: np.ndarray, frequent: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of which every similar set has `least` (or all it must have) among its own, and which of them are
+    frequent."""
     n = len(tokens)
     some = np.zeros(n, bool)
     if len(frequent) and n:
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
         some = frequent[at] == tokens
-    order = np.concatenate([np.flatnonzero(~some), np.flatnonzero(some)])[: n - -(-4 * n // 5) + 1 if n else 0]
+    order = np.concatenate([np.flatnonzero(~some), np.flatnonzero(some)])[: n - -(-4 * n // 5) + least if n else 0]
     return tokens[order], some[order]
 
 
 def prefixes(sets: Sets, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The `prefix` of every set: tokens, which of them are frequent, and their sets."""
+    """The `prefix` of every set, for LEAST_SHARED: tokens, which of them are frequent, and their sets."""
     some = np.zeros(len(sets.tokens), bool)
     if len(frequent) and len(some):
         some = frequent[np.minimum(np.searchsorted(frequent, sets.tokens), len(frequent) - 1)] == sets.tokens
     order = np.argsort(2 * sets.doc + some, kind="stable")
     rank = np.arange(len(order)) - sets.at[sets.doc]
-    order = order[rank < (sets.sizes - -(-4 * sets.sizes // 5) + 1)[sets.doc]]
+    order = order[rank < (sets.sizes - -(-4 * sets.sizes // 5) + LEAST_SHARED)[sets.doc]]
     return sets.tokens[order], some[order], sets.doc[order]
 
 
@@ -364,9 +369,9 @@ def _entries(docs: DataFrame, frequent: Broadcast, buckets: int) -> DataFrame:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of a bucket the (token, cls, n, often) whose token has another class of a size near enough. Tokens that the same
-    classes have are one, a hash of these classes stands for them (but for frequent tokens, as a bucket has a part of
-    their classes)."""
+    """Of a bucket the (token, cls, n, often, times) whose token has another class of a size near enough. Tokens that the
+    same classes have are one, a hash of these classes stands for all `times` of them (but for frequent tokens, as a
+    bucket has a part of their classes)."""
     out = []
     for often in (False, True):
         part = table.filter(pc.equal(table.column("often"), often))
@@ -379,6 +384,7 @@ def _shared(table: pa.Table) -> pa.Table:
             near = (token[1:] == token[:-1]) & (5 * n[:-1] >= 4 * n[1:])
             keep = np.append(False, near) | np.append(near, False) | often
             token, owner, n = token[keep], owner[keep], n[keep]
+            times = np.ones(len(token), np.int64)
             if not often and len(token):
                 first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
                 with np.errstate(over="ignore"):
@@ -387,10 +393,20 @@ def _shared(table: pa.Table) -> pa.Table:
                 order = np.lexsort((owner, token))
                 token, owner, n = token[order], owner[order], n[order]
                 new = np.append(True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1]))
-                token, owner, n = token[new], owner[new], n[new]
-            out.append((token, owner, n, np.full(len(token), often)))
-    columns = [np.concatenate([o[i] for o in out]) for i in range(4)] if out else [np.empty(0, np.int64)] * 3 + [np.empty(0, bool)]
-    return pa.table(dict(zip(["token", "cls", "n", "often"], columns)))
+                token, owner, n, times = token[new], owner[new], n[new], np.diff(np.append(np.flatnonzero(new), len(new)))
+            out.append((token, owner, n, times, np.full(len(token), often)))
+    columns = [np.concatenate([o[i] for o in out]) for i in range(5)] if out else [np.empty(0, np.int64)] * 4 + [np.empty(0, bool)]
+    return pa.table(dict(zip(["token", "cls", "n", "times", "often"], columns)))
+
+
+def _able(found: DataFrame) -> DataFrame:
+    """The rows of `_shared` whose token has two classes, of classes that share as many tokens as a similar one would."""
+    common = found.where("often").groupBy("token").agg(F.count("*").alias("count")).where("count > 1").select("token")
+    # No more tokens than MOST_FREQUENT.
+    rows = found.where("not often").unionByName(found.where("often").join(F.broadcast(common), "token", "left_semi"))
+    must = F.least(F.lit(LEAST_SHARED), F.ceil(4 * F.col("n") / 5))
+    able = rows.groupBy("cls").agg(F.sum("times").alias("times"), F.max("n").alias("n")).where(F.col("times") >= must)
+    return rows.join(able.select("cls"), "cls", "left_semi")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
@@ -573,9 +589,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     buckets = 1 + total // 5 // BUCKET
 
     shipped = spark.sparkContext.broadcast(frequent)
-    found = staged(_entries(docs, shipped, buckets).groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, often boolean"), "tree-shared")
+    found = staged(_entries(docs, shipped, buckets).groupBy("bucket").applyInArrow(_shared, "token long, cls long, n long, times long, often boolean"), "tree-shared")
     # Several buckets can have tokens of the same classes, and several tasks the classes of a frequent token.
-    shared = staged(found.groupBy("token", "cls").agg(F.max("n").alias("n")), "tree-shared")
+    shared = staged(_able(found).groupBy("token", "cls").agg(F.max("n").alias("n")), "tree-shared")
     wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls", "key").agg(F.count("*").alias("times"))
     # The key that fewest rows have; only rows that repeat text and id (or have none) share one.
     wanted = wanted.groupBy("cls").agg(F.min(F.struct("times", "key")).alias("row")).select("cls", "row.key", (F.col("row.times") > 1).alias("repeated"))

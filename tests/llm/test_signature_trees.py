@@ -150,6 +150,43 @@ def test_similar_sets_share_a_prefix_token():
         assert set(prefix(a, frequent)[0].tolist()) & set(prefix(np.sort(b), frequent)[0].tolist())
 
 
+def test_longer_prefixes_share_more_tokens():
+    rng = np.random.default_rng(5)
+    frequent = np.sort(rng.integers(0, 2**63, 50).astype(np.uint64))
+    for n in range(1, 80):
+        a = np.unique(np.concatenate([rng.integers(0, 2**63, n).astype(np.uint64), frequent[: n % 50]]))
+        must = -(-4 * len(a) // 5)
+        b = np.sort(a[rng.permutation(len(a))[:must]])
+        for least in (2, 4, 9):
+            both = set(prefix(a, frequent, least)[0].tolist()) & set(prefix(b, frequent, least)[0].tolist())
+            assert len(both) >= min(least, must)
+
+
+def test_texts_with_few_common_words_stay(spark, monkeypatch):
+    """Two texts that share a passage of nine words out of a hundred are never fetched; near copies are."""
+    rng, moved = random.Random(6), []
+
+    def text(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    rows = []
+    for i in range(200):
+        passage = text(9)
+        rows += [(4 * i, " ".join(passage + text(91))), (4 * i + 1, " ".join(text(91) + passage))]
+    for i in range(5):
+        body = text(100)
+        rows += [(4 * i + 2, " ".join(body)), (4 * i + 3, " ".join(body[:-2] + text(2)))]
+    fetch = signature_trees._texts
+
+    def spy(docs, wanted, buckets):
+        moved.append(wanted.count())
+        return fetch(docs, wanted, buckets)
+
+    monkeypatch.setattr(signature_trees, "_texts", spy)
+    check(spark, rows)
+    assert 10 <= moved[0] < 60
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(100)] + [(500, 400), (400, 450)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
