@@ -19,10 +19,10 @@ the sizes, or when all their members are connected already. Three steps:
 2. A class that shares tokens with a larger component than its own is compared with one member of it, the one
    with which it shares most prefix tokens: one comparison per class, at most BRIDGES times. This joins what
    the first step left of groups of near copies.
-3. Where a prefix token still leads together classes of different components, a tree of their bitmaps (cut into
-   blocks, and trees for all pairs of blocks, above MARKED_SIZE) tells which classes can still have a link
-   there. Only these come again, with their texts, into the token's tree, which compares exactly and gives at
-   most one link per pair of components.
+3. Where prefix tokens still lead together classes of different components, a tree of their bitmaps (one for all
+   tokens with the same smallest class; cut into blocks, and trees for all pairs of blocks, above MARKED_SIZE)
+   tells which classes can still have a link there. Only these come again, with their texts, into such a tree,
+   which compares exactly and gives at most one link per pair of components.
 
 So no link is lost, whatever the group sizes; a group of n near copies costs about n comparisons, and every step
 gives at most a row per class and token.
@@ -501,17 +501,17 @@ def _possible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _cut(rows: DataFrame, size: int) -> DataFrame:
-    """(token, i, j, cls, n, label): the trees of tokens that several components have; above `size` classes one for each pair
-    of blocks. Tokens with the same classes need one tree."""
-    groups = rows.groupBy("token").agg(
-        F.count("*").alias("count"), F.sum("n").alias("tokens"), F.min("label").alias("least"), F.max("label").alias("most"),
-        F.bit_xor(F.xxhash64("cls")).alias("one"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("two"),
-    ).where("least <> most")
-    groups = groups.groupBy("count", "one", "two").agg(F.min("token").alias("token"), F.max("tokens").alias("tokens"))
-    groups = groups.select("token", _blocks(size))
-    own = rows.join(groups, "token").select("token", "cls", "n", "label", "blocks", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return own.withColumn("other", other).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "n", "label")
+    """(token, i, j, cls, n, label): the trees of tokens that several components have. Tokens with the same smallest class
+    are one tree, as groups of near copies share many tokens in slightly different parts: each class comes once, whatever
+    the number of these tokens. Above `size` classes there is a tree for each pair of blocks."""
+    tokens = rows.groupBy("token").agg(F.min("cls").alias("tree"), F.min("label").alias("least"), F.max("label").alias("most"))
+    tokens = tokens.where("least <> most").select("token", "tree")
+    own = rows.join(tokens, "token").groupBy(F.col("tree").alias("token"), "cls").agg(F.max("n").alias("n"), F.max("label").alias("label"))
+    groups = own.groupBy("token").agg(F.count("*").alias("count"), F.sum("n").alias("tokens")).select("token", _blocks(size))
+    own = own.join(groups, "token").select("token", "cls", "n", "label", "blocks", F.pmod(F.xxhash64("cls"), "blocks").cast("int").alias("block"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    own = own.select("token", "cls", "n", "label", "block", other)
+    return own.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "n", "label")
 
 
 def _open(shared: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:

@@ -187,6 +187,22 @@ def test_texts_with_few_common_words_stay(spark, monkeypatch):
     assert 10 <= moved[0] < 60
 
 
+def test_a_class_is_in_one_tree_of_a_group(spark):
+    """Ten tokens that parts of one group have: a class comes once, not once a token, and all pairs of a token meet."""
+    rows = [(100 + t, c, 50, c) for t in range(10) for c in range(6) if c != 1 + t % 5]
+    rows += [(200, 7, 50, 7), (200, 8, 50, 7), (300, 3, 50, 3), (300, 9, 60, 9)]
+    cut = signature_trees._cut(spark.createDataFrame(rows, "token long, cls long, n long, label long"), 128).collect()
+    assert sorted((r.token, r.cls, r.n, r.i, r.j) for r in cut) == [(0, c, 50, 0, 0) for c in range(6)] + [(3, 3, 50, 0, 0), (3, 9, 60, 0, 0)]
+    trees = defaultdict(set)
+    for r in signature_trees._cut(spark.createDataFrame(rows, "token long, cls long, n long, label long"), 2).collect():
+        trees[r.token, r.i, r.j].add(r.cls)
+    met = {(a, b) for t in trees.values() for a in t for b in t}
+    own = defaultdict(set)
+    for token, c, *_ in rows[:-4] + rows[-2:]:
+        own[token].add(c)
+    assert {(a, b) for t in own.values() for a in t for b in t} <= met
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(100)] + [(500, 400), (400, 450)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
