@@ -57,6 +57,8 @@ MARKED_SIZE, BRIDGES = 2048, 3
 FREQUENT, CHUNK, MOST_FREQUENT = 4, 2_000_000, 100_000
 #: So many tokens similar sets share in their prefixes; each costs a token more per prefix.
 LEAST_SHARED = 4
+#: Bits of the bitmap that tells which texts may be wanted, a multiple of those of a part.
+WANTED_BITS = 1 << 25
 #: Prefix tokens per bucket of the search for shared ones.
 BUCKET = 1_000_000
 
@@ -409,6 +411,25 @@ def _able(found: DataFrame) -> DataFrame:
     return rows.join(able.select("cls"), "cls", "left_semi")
 
 
+def _maybe_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, text) of the documents whose key is wanted, and of a few others: by a bitmap of WANTED_BITS, so that a join
+    that moves texts by key doesn't move them all."""
+    place = F.pmod("key", F.lit(WANTED_BITS)) + 1
+    parts = wanted.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit"))
+    parts = parts.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    bits = np.zeros(WANTED_BITS // 8, np.uint8)
+    for r in parts:
+        bits[(r.part - 1) * len(r.bits) : r.part * len(r.bits)] = np.frombuffer(r.bits, np.uint8)
+    shipped = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("key").to_numpy() % WANTED_BITS
+            yield batch.filter(pa.array((shipped.value[at >> 3] >> (at & 7)) & 1 == 1))
+
+    return docs.select("key", "text").mapInArrow(run, "key long, text string")
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
     """(cls, marks, text) of the wanted (key, cls, repeated), partitioned by cls; marks: the bitmap of the set. Rows that
     repeat a key are thinned to one a task before they move."""
@@ -424,7 +445,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
             at = pa.array(own, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("cls").take(at), pa.array(marks, pa.binary()), column.take(at).cast(pa.string())], ["cls", "marks", "text"])
 
-    found = docs.join(wanted, "key").select("cls", "text", "repeated").mapInArrow(run, "cls long, marks binary, text string")
+    found = _maybe_wanted(docs, wanted).join(wanted, "key").select("cls", "text", "repeated").mapInArrow(run, "cls long, marks binary, text string")
     return found.repartition(buckets, "cls").dropDuplicates(["cls"])
 
 
@@ -595,6 +616,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     wanted = rows.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls", "key").agg(F.count("*").alias("times"))
     # The key that fewest rows have; only rows that repeat text and id (or have none) share one.
     wanted = wanted.groupBy("cls").agg(F.min(F.struct("times", "key")).alias("row")).select("cls", "row.key", (F.col("row.times") > 1).alias("repeated"))
+    wanted = staged(wanted, "tree-wanted")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with staged_in_buckets(_texts(docs, wanted, buckets), "tree-texts", "cls", buckets) as texts:
         labels = _labels(shared, texts)

@@ -203,6 +203,14 @@ def test_a_class_is_in_one_tree_of_a_group(spark):
     assert {(a, b) for t in own.values() for a in t for b in t} <= met
 
 
+def test_bitmap_of_wanted_texts(spark):
+    docs = spark.range(5000).selectExpr("xxhash64(id) as key", "cast(id as string) as text", "id")
+    wanted = docs.where("id % 10 = 0").select("key")
+    got = {r.text for r in signature_trees._maybe_wanted(docs, wanted).collect()}
+    assert {str(i) for i in range(0, 5000, 10)} <= got and len(got) < 520
+    assert signature_trees._maybe_wanted(docs, wanted.limit(0)).collect() == []
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(100)] + [(500, 400), (400, 450)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
